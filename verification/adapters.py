@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wattledger.operators import supply
 from wattledger.plans.sizing import broadcast_within
+from wattledger.plans.storage import scratch_dir, written
 
 
 def _hour_of_order(day: Column, order_key: Column) -> Column:
@@ -149,19 +150,24 @@ class GridTables:
             "num_meters",
         )
 
-    # the small sides of joins with the plant output, counted before they are hinted for broadcast
+    # the small sides of joins with the plant output, counted before they are hinted for broadcast; they are written
+    # first, as the tables they stand for would be, so that the count does not derive them a second time
+
+    def _small_side(self, name: str, df: DataFrame) -> DataFrame:
+        return broadcast_within(written(df, f"{scratch_dir(self.spark)}/{name}"))
 
     @cached_property
     def weather_factors(self) -> DataFrame:
-        return broadcast_within(supply.weather_factors_of_hour(self.weather))
+        return self._small_side("weather_factors", supply.weather_factors_of_hour(self.weather))
 
     @cached_property
     def weighted_output(self) -> DataFrame:
-        return supply.weather_weighted(self.plant_output, broadcast_within(supply.weather_matches(self.weather)))
+        matches = self._small_side("weather_matches", supply.weather_matches(self.weather))
+        return supply.weather_weighted(self.plant_output, matches)
 
     @cached_property
     def plant_hours(self) -> DataFrame:
         """Every recorded plant-hour with its plant's efficiency and cost per MWh."""
-        plant = broadcast_within(self.plants.select("plant_id", "efficiency", "operating_cost"))
+        plant = self._small_side("plants", self.plants.select("plant_id", "efficiency", "operating_cost"))
         recorded = self.plant_output.select("timestamp", "plant_id", "plant_type", "district_id", "capacity_mw")
         return recorded.join(plant, "plant_id")

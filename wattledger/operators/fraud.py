@@ -14,8 +14,13 @@ from wattledger.functions import anomaly
 
 
 def meter_totals(readings: DataFrame) -> DataFrame:
-    """Energy per meter. A meter seen in several districts belongs to the first by id."""
-    return readings.groupBy("meter_id").agg(
+    """Energy per meter. A meter seen in several districts belongs to the first by id.
+
+    The readings are summed by meter and district, which hash aggregation can do; a minimum of strings makes Spark sort
+    its input, so that step only sees the sums.
+    """
+    by_district = readings.groupBy("meter_id", "district_id").agg(F.sum("kwh").alias("kwh"))
+    return by_district.groupBy("meter_id").agg(
         F.min("district_id").alias("district_id"), F.sum("kwh").alias("total_kwh")
     )
 
