@@ -14,6 +14,7 @@ import pytest
 from wattledger import constants as C
 from wattledger.plans import cubes
 from wattledger.plans.full_run import OUTPUTS, analyze, save
+from wattledger.plans.report_frames import chart_frames, dashboard_frames
 
 START = datetime(2024, 6, 1)
 KINDS = ["nuclear", "coal", "gas", "hydro", "wind", "solar", "tidal"]
@@ -182,3 +183,22 @@ def test_saved_results(spark, results, tmp_path, fmt):
             assert len(list(path.glob("part-*.csv"))) == 1
             keys = [tuple(r[c] for c in output.order) for r in saved.collect()]
             assert keys == sorted(keys), name
+
+
+def test_report_frames_agree_with_the_results(results):
+    charts, panels = chart_frames(results), dashboard_frames(results)
+    meters = results["meter_zscores"].count()
+    assert len(charts) == 10 and len(panels) == 6
+    for name in ("zscore_distribution", "meter_status"):
+        assert sum(r["count"] for r in charts[name].collect()) == meters
+    metrics = {r["metric"]: r["value"] for r in panels["demand"].collect()}
+    demands = keyed(results["total_demand"], ["district_id"], "total_demand_kwh")
+    assert metrics["Total Demand"] == pytest.approx(sum(demands.values()))
+    assert metrics["Districts Monitored"] == len(demands)
+    supply_rows = {r["plant_type"]: r["total_output_mw"] for r in panels["supply"].collect()}
+    supplies = keyed(results["type_supply"], ["plant_type"], "total_supply_mw")
+    assert supply_rows["Total"] == pytest.approx(sum(supplies.values()))
+    mix = {r["source"]: r["mw"] for r in charts["renewable_mix"].collect()}
+    assert mix["Renewable"] == pytest.approx(results["renewable_share"].first()["renewable_mw"])
+    for frame in (*charts.values(), *panels.values()):
+        frame.collect()

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from wattledger.operators import balance, carbon, demand, fraud, supply
 from wattledger.plans import cubes
 from wattledger.plans.sizing import broadcast_within
-from wattledger.plans.storage import scratch_dir, written
+from wattledger.plans.storage import concurrently, scratch_dir, written
 from wattledger.sources.readers import read_meter_readings, read_plant_output, read_weather
 from wattledger.sources.writers import write_csv, write_parquet
 
@@ -50,14 +51,21 @@ def analyze(readings: DataFrame, plant_output: DataFrame, weather: DataFrame) ->
     """
     scratch = scratch_dir(readings.sparkSession)
     matches = broadcast_within(supply.weather_matches(weather))
-    by_hour = written(cubes.demand_cube(readings), f"{scratch}/demand")
-    generation = written(cubes.generation_cube(plant_output, matches), f"{scratch}/generation")
-    totals = written(fraud.meter_totals(readings), f"{scratch}/meter_totals")
+    by_hour, generation, totals = concurrently(
+        [
+            lambda: written(cubes.demand_cube(readings), f"{scratch}/demand"),
+            lambda: written(cubes.generation_cube(plant_output, matches), f"{scratch}/generation"),
+            lambda: written(fraud.meter_totals(readings), f"{scratch}/meter_totals"),
+        ]
+    )
     stats = written(fraud.district_stats(totals), f"{scratch}/district_stats")
     zscores = written(fraud.meter_zscores(totals, broadcast_within(stats)), f"{scratch}/meter_zscores")
 
     supplied, emitted = cubes.supply_view(generation), cubes.carbon_view(generation)
     results = {
+        "demand_cube": by_hour,
+        "supply_cube": supplied,
+        "carbon_cube": emitted,
         "total_demand": demand.demand_by_district(by_hour),
         "hourly_demand": demand.demand_by_district_hour(by_hour),
         "type_demand": demand.demand_by_meter_type(by_hour),
@@ -85,7 +93,9 @@ def analyze(readings: DataFrame, plant_output: DataFrame, weather: DataFrame) ->
 
 def save(results: dict[str, DataFrame], out_dir: str, fmt: str = "csv") -> None:
     """Write every result of ``OUTPUTS`` to ``out_dir/<folder>/<name>``; small CSV results as one sorted file."""
-    for name, output in OUTPUTS.items():
+
+    def write(name: str) -> None:
+        output = OUTPUTS[name]
         path = f"{out_dir}/{output.folder}/{name}"
         df = results[name].orderBy(*output.order) if output.order else results[name]
         if fmt == "parquet":
@@ -93,6 +103,8 @@ def save(results: dict[str, DataFrame], out_dir: str, fmt: str = "csv") -> None:
         else:
             write_csv(df, path, single_file=bool(output.order))
 
+    concurrently([partial(write, name) for name in OUTPUTS])
+
 
 def run_all(
     spark: SparkSession, raw_dir: str, out_dir: str, *, raw_format: str = "csv", out_format: str = "csv"

@@ -6,11 +6,15 @@ A written table survives the loss of executors; what reads it does not recompute
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+T = TypeVar("T")
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -30,3 +34,9 @@ def written(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` as Parquet to ``path`` and return the table read back."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def concurrently(actions: Iterable[Callable[[], T]], jobs: int = 4) -> list[T]:
+    """Results of independent actions, submitted to Spark ``jobs`` at a time so that one fills the tail of another."""
+    with ThreadPoolExecutor(jobs) as pool:
+        return list(pool.map(lambda action: action(), actions))
