@@ -449,6 +449,15 @@ def test_clamp_keeps_null(frame):
     assert [evaluate(frame, clamped, v) for v in (None, NAN, -1.0, 0.5, 2.0)] == [None, 0.0, 0.0, 0.5, 1.0]
 
 
+@pytest.mark.parametrize(
+    ("x", "expected"), [(0.405, 0.41), (1.004, 1.0), (-1.236, -1.24), (0.0, 0.0), (123456789.125, 123456789.13), (None, None)]
+)
+def test_rounding(frame, x, expected):
+    rounding = lambda c: common.round_half_up(c, 2)
+    assert evaluate(frame, rounding, x) == expected
+    assert math.isnan(evaluate(frame, rounding, NAN))
+
+
 # empty input
 
 

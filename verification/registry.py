@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from verification.adapters import GridTables
+from wattledger.functions.common import round_half_up
 from wattledger.operators import balance, carbon, demand, fraud, reports, supply, weather
 from wattledger.plans.full_run import OUTPUTS, run_all
-from wattledger.plans.storage import scratch_dir
+from wattledger.plans.storage import scratch_dir, written
 from wattledger.schemas import TABLES
 from wattledger.sources import readers, writers
 
@@ -31,7 +32,7 @@ def query(build: Callable[[GridTables], DataFrame]) -> Callable[[GridTables], Da
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
-    return df.withColumns({name: F.round(name, digits) for name in doubles})
+    return df.withColumns({name: round_half_up(F.col(name), digits) for name in doubles})
 
 
 def _csv_round_trip(g: GridTables, table: str) -> DataFrame:
@@ -341,7 +342,8 @@ def chart_grid_balance(g):
 
 @query
 def zscore_histogram(g):
-    return rounded(reports.zscore_histogram(_zscores(g)))
+    scores = written(_zscores(g).select("zscore"), f"{scratch_dir(g.spark)}/zscores")
+    return rounded(reports.zscore_histogram(scores))
 
 
 @query

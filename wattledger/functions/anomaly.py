@@ -19,7 +19,8 @@ def meter_status(
 ) -> Column:
     size = F.abs(z)
     return (
-        F.when(size >= critical, "FRAUD_LIKELY")
+        F.when(F.isnan(z), "NORMAL")
+        .when(size >= critical, "FRAUD_LIKELY")
         .when(size >= warning, "SUSPICIOUS")
         .when(size >= monitor, "MONITOR")
         .otherwise("NORMAL")
@@ -28,7 +29,12 @@ def meter_status(
 
 def fraud_type(z: Column, *, critical: float = C.Z_CRITICAL) -> Column:
     """Direction of the deviation; strict, so a score of exactly ``critical`` has none."""
-    return F.when(z < -critical, "UNDER_REPORTING").when(z > critical, "OVER_REPORTING").otherwise("NONE")
+    return (
+        F.when(F.isnan(z), "NONE")
+        .when(z < -critical, "UNDER_REPORTING")
+        .when(z > critical, "OVER_REPORTING")
+        .otherwise("NONE")
+    )
 
 
 def is_fraud_case(status: Column) -> Column:

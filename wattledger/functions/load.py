@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from wattledger import constants as C
-from wattledger.functions.common import clamp, lookup
+from wattledger.functions.common import clamp, lookup, round_half_up
 
 SATURDAY = 5
 
@@ -26,4 +26,5 @@ def load_factor(meter_type: Column, timestamp: Column) -> Column:
 
 
 def expected_kwh(base_consumption: Column, meter_type: Column, timestamp: Column) -> Column:
-    return F.round(clamp(base_consumption * load_factor(meter_type, timestamp), C.MIN_EXPECTED_KWH), 4)
+    kwh = clamp(base_consumption * load_factor(meter_type, timestamp), C.MIN_EXPECTED_KWH)
+    return round_half_up(kwh, 4)

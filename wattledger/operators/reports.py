@@ -46,6 +46,7 @@ def zscore_histogram(zscores: DataFrame, bins: int = 50, limit: float = 5.0) ->
 
     Scores beyond the limit count in the outermost bins. A bin holds its lower edge and the last one both of its edges;
     a flat range is widened by half a unit on each side, and without scores the range is [0, 1]. Empty bins are kept.
+    The scores are read twice, for the range and for the counts: pass a written table where they are costly to derive.
     """
     scores = zscores.where(F.col("zscore").isNotNull()).select(
         clamp(F.col("zscore"), -float(limit), float(limit)).alias("z")

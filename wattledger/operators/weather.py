@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from wattledger import constants as C
 from wattledger.functions import generation, load
-from wattledger.functions.common import literal_rows
+from wattledger.functions.common import literal_rows, round_half_up
 from wattledger.operators.supply import enrich_with_weather
 
 
@@ -79,9 +79,9 @@ def expected_output(plant_hours: DataFrame, weather: DataFrame) -> DataFrame:
             "plant_type",
             "district_id",
             "capacity_mw",
-            F.round("availability", 3).alias("availability"),
-            F.round("expected_mw", 2).alias("output_mw"),
-            F.round(F.col("expected_mw") * F.col("operating_cost"), 2).alias("operating_cost"),
+            round_half_up(F.col("availability"), 3).alias("availability"),
+            round_half_up(F.col("expected_mw"), 2).alias("output_mw"),
+            round_half_up(F.col("expected_mw") * F.col("operating_cost"), 2).alias("operating_cost"),
         )
     )
 
