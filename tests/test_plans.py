@@ -11,6 +11,7 @@ from verification.registry import QUERIES
 from wattledger.operators import carbon, demand, fraud, reports, supply
 from wattledger.plans import cubes
 from wattledger.plans.sizing import broadcast_within
+from wattledger.plans.storage import written
 
 
 def planned(df) -> str:
@@ -119,3 +120,51 @@ def test_cubes_aggregate_before_the_shuffle(grid):
     plan = planned(cubes.demand_cube(grid.meter_readings))
     assert plan.count("Exchange") == 1
     assert "partial_sum" in plan[plan.index("Exchange") :]
+
+
+@pytest.fixture
+def eager_skew_splitting(spark, without_static_broadcast):
+    """Thresholds at the scale of the test data."""
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key in settings:
+        spark.conf.unset(key)
+
+
+def test_a_hot_hour_is_split_beyond_the_broadcast_bound(grid, tmp_path, eager_skew_splitting):
+    """A third of the plant output in one hour, joined with weather that is not broadcast."""
+    hot = F.when(F.hash("plant_id", "output_mw") % 3 == 0, F.lit("1998-01-01 00:00:00").cast("timestamp_ntz"))
+    output = grid.plant_output.withColumn("timestamp", F.coalesce(hot, F.col("timestamp"))).repartition(8)
+    weather = written(grid.weather, str(tmp_path / "weather"))
+    enriched = supply.enrich_with_weather(output, broadcast_within(weather, max_rows=10))
+    assert "SortMergeJoin(skew=true)" in executed(enriched)
+    assert enriched.count() == output.count()
+    matches = written(supply.weather_matches(weather), str(tmp_path / "matches"))
+    weighted = supply.weather_weighted(output, broadcast_within(matches, max_rows=10))
+    assert "SortMergeJoin(skew=true)" in executed(weighted)
+    assert weighted.count() == output.count()
+
+
+def test_a_hot_district_is_spread_if_statistics_are_not_broadcast(spark, without_static_broadcast):
+    """Two thirds of the meters in one district, without the help of adaptive execution."""
+    meter = F.col("id")
+    totals = spark.range(0, 60000, 1, 8).select(
+        F.concat(F.lit("M"), meter).alias("meter_id"),
+        F.when(meter % 3 > 0, "D0").otherwise(F.concat(F.lit("D"), meter % 100)).alias("district_id"),
+        (meter % 17).cast("double").alias("total_kwh"),
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        scores = fraud.meter_zscores(totals, fraud.district_stats(totals))
+        assert "SortMergeJoin" in planned(scores)
+        sizes = [r["count"] for r in scores.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(sizes) == 60000
+    assert max(sizes) < 60000 * 0.3

@@ -11,7 +11,9 @@ from datetime import datetime, timedelta
 
 import pytest
 
+from tests.conftest import values
 from wattledger import constants as C
+from wattledger.operators import fraud
 from wattledger.plans import cubes
 from wattledger.plans.full_run import OUTPUTS, analyze, save
 from wattledger.plans.report_frames import chart_frames, dashboard_frames
@@ -170,6 +172,20 @@ def test_cubes_stay_small(frames):
     assert demand_cube.count() <= 7 * 2 * 24
 
 
+def test_rollup_is_the_cube_and_the_meter_sums(frame):
+    """Missing keys are groups of their own, not confused with keys a grouping leaves out."""
+    rows = [
+        (hour(0), "M1", "D1", "residential", 1.0),
+        (hour(24), "M1", "D1", "residential", 2.0),
+        (hour(1), "M1", None, None, 4.0),
+        (None, None, "D2", "commercial", 8.0),
+    ]
+    readings = frame(rows, "timestamp STRING, meter_id STRING, district_id STRING, meter_type STRING, kwh DOUBLE")
+    rollup = cubes.readings_rollup(readings)
+    assert values(cubes.demand_view(rollup)) == values(cubes.demand_cube(readings))
+    assert values(cubes.meter_view(rollup)) == values(fraud.meter_district_sums(readings))
+
+
 @pytest.mark.parametrize("fmt", ["csv", "parquet"])
 def test_saved_results(spark, results, tmp_path, fmt):
     save(results, str(tmp_path), fmt)

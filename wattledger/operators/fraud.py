@@ -13,16 +13,25 @@ from wattledger import constants as C
 from wattledger.functions import anomaly
 
 
+def meter_district_sums(readings: DataFrame) -> DataFrame:
+    """Energy per meter and district."""
+    return readings.groupBy("meter_id", "district_id").agg(F.sum("kwh").alias("kwh"))
+
+
+def one_district_per_meter(sums: DataFrame) -> DataFrame:
+    """Totals per meter from ``meter_district_sums``. A meter seen in several districts belongs to the first by id."""
+    return sums.groupBy("meter_id").agg(
+        F.min("district_id").alias("district_id"), F.sum("kwh").alias("total_kwh")
+    )
+
+
 def meter_totals(readings: DataFrame) -> DataFrame:
-    """Energy per meter. A meter seen in several districts belongs to the first by id.
+    """Energy and district of each meter.
 
     The readings are summed by meter and district, which hash aggregation can do; a minimum of strings makes Spark sort
     its input, so that step only sees the sums.
     """
-    by_district = readings.groupBy("meter_id", "district_id").agg(F.sum("kwh").alias("kwh"))
-    return by_district.groupBy("meter_id").agg(
-        F.min("district_id").alias("district_id"), F.sum("kwh").alias("total_kwh")
-    )
+    return one_district_per_meter(meter_district_sums(readings))
 
 
 def district_stats(totals: DataFrame, min_meters: int = C.MIN_METERS_PER_DISTRICT) -> DataFrame:
@@ -46,18 +55,23 @@ def valid_district_stats(stats: DataFrame) -> DataFrame:
     return stats.where("valid_stats")
 
 
-def meter_zscores(totals: DataFrame, stats: DataFrame) -> DataFrame:
+def meter_zscores(totals: DataFrame, stats: DataFrame, salts: int = 16) -> DataFrame:
     """Score, status and fraud type of every meter of a district with valid statistics.
 
     Statistics are joined back rather than computed by a window over the district, which would bring all meters of a
-    district into one task.
+    district into one task. Where they are too many to broadcast, each district is spread over ``salts`` join keys.
     """
     reference = valid_district_stats(stats).select(
-        "district_id", F.col("mean_kwh").alias("district_mean"), F.col("stddev_kwh").alias("district_stddev")
+        "district_id",
+        F.col("mean_kwh").alias("district_mean"),
+        F.col("stddev_kwh").alias("district_stddev"),
+        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"),
     )
+    # never NULL, and known to be: a check for NULL salts would reach the readings and cost the shared shuffle
+    salted = totals.withColumn("salt", F.coalesce(F.pmod(F.hash("meter_id"), F.lit(salts)), F.lit(0)))
     z = F.col("zscore")
     return (
-        totals.join(reference, "district_id")
+        salted.join(reference, ["district_id", "salt"])
         .select("meter_id", "district_id", "total_kwh", "district_mean", "district_stddev")
         .withColumn("zscore", anomaly.zscore(F.col("total_kwh"), F.col("district_mean"), F.col("district_stddev")))
         .withColumns({"status": anomaly.meter_status(z), "fraud_type": anomaly.fraud_type(z)})

@@ -19,6 +19,23 @@ def demand_cube(readings: DataFrame) -> DataFrame:
     return with_hour(readings).groupBy("district_id", "meter_type", "hour").agg(F.sum("kwh").alias("kwh"))
 
 
+def readings_rollup(readings: DataFrame) -> DataFrame:
+    """``demand_cube`` and the sums by meter and district in one scan, told apart by ``per_meter``."""
+    keys = ["meter_id", "district_id", "meter_type", "hour"]
+    sets = [["district_id", "meter_type", "hour"], ["meter_id", "district_id"]]
+    return with_hour(readings).groupingSets(sets, *keys).agg(
+        (F.grouping("meter_id") == 0).alias("per_meter"), F.sum("kwh").alias("kwh")
+    )
+
+
+def demand_view(rollup: DataFrame) -> DataFrame:
+    return rollup.where(~F.col("per_meter")).select("district_id", "meter_type", "hour", "kwh")
+
+
+def meter_view(rollup: DataFrame) -> DataFrame:
+    return rollup.where("per_meter").select("meter_id", "district_id", "kwh")
+
+
 def generation_cube(plant_output: DataFrame, matches: DataFrame) -> DataFrame:
     """Sums by district, plant type and hour of day.
 

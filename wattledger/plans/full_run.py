@@ -46,18 +46,19 @@ OUTPUTS = {
 def analyze(readings: DataFrame, plant_output: DataFrame, weather: DataFrame) -> dict[str, DataFrame]:
     """All results and summaries by name.
 
-    The readings are scanned twice (demand cube, meter totals) and the plant output once. The pre-aggregates and the
-    scored meters are written to the scratch folder first; every returned frame reads only those.
+    The readings and the plant output are scanned once each. Their pre-aggregates and the scored meters are written to
+    the scratch folder first; every returned frame reads only those.
     """
     scratch = scratch_dir(readings.sparkSession)
-    matches = broadcast_within(supply.weather_matches(weather))
-    by_hour, generation, totals = concurrently(
+    matches = broadcast_within(written(supply.weather_matches(weather), f"{scratch}/weather_matches"))
+    rollup, generation = concurrently(
         [
-            lambda: written(cubes.demand_cube(readings), f"{scratch}/demand"),
+            lambda: written(cubes.readings_rollup(readings), f"{scratch}/readings", "per_meter"),
             lambda: written(cubes.generation_cube(plant_output, matches), f"{scratch}/generation"),
-            lambda: written(fraud.meter_totals(readings), f"{scratch}/meter_totals"),
         ]
     )
+    by_hour = cubes.demand_view(rollup)
+    totals = written(fraud.one_district_per_meter(cubes.meter_view(rollup)), f"{scratch}/meter_totals")
     stats = written(fraud.district_stats(totals), f"{scratch}/district_stats")
     zscores = written(fraud.meter_zscores(totals, broadcast_within(stats)), f"{scratch}/meter_zscores")
 

@@ -30,9 +30,9 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/wattledger-{uuid4().hex}"
 
 
-def written(df: DataFrame, path: str) -> DataFrame:
+def written(df: DataFrame, path: str, *partition_by: str) -> DataFrame:
     """Write ``df`` as Parquet to ``path`` and return the table read back."""
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
