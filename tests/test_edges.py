@@ -431,6 +431,9 @@ def test_spine_covers_the_period(frame):
     assert spine.count() == 144
     ends = spine.agg(F.min("timestamp").cast("string"), F.max("timestamp").cast("string")).first()
     assert tuple(ends) == (T0, "2024-06-03 23:00:00")
+    assert values(weather.hourly_spine(dims, T0, hours=1), "id") == [("a",), ("b",)]
+    with pytest.raises(ValueError, match="hour"):
+        weather.hourly_spine(dims, T0, hours=0)
 
 
 def test_condition_distribution_counts_all_hours(frame):

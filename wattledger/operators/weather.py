@@ -22,6 +22,8 @@ def hourly_spine(
     Hours are generated within each row, so nothing is joined or shuffled. A dimension that sits in few files can be
     spread over ``partitions`` tasks first.
     """
+    if hours < 1:
+        raise ValueError("a period has at least one hour")
     first = F.lit(str(start)).cast("timestamp_ntz")
     timestamps = F.sequence(first, first + F.make_dt_interval(F.lit(0), F.lit(hours - 1)), F.expr("INTERVAL 1 HOUR"))
     spread = dimension.repartition(partitions) if partitions else dimension

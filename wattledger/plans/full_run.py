@@ -43,13 +43,16 @@ OUTPUTS = {
 }
 
 
-def analyze(readings: DataFrame, plant_output: DataFrame, weather: DataFrame) -> dict[str, DataFrame]:
+def analyze(
+    readings: DataFrame, plant_output: DataFrame, weather: DataFrame, scratch: str | None = None
+) -> dict[str, DataFrame]:
     """All results and summaries by name.
 
     The readings and the plant output are scanned once each. Their pre-aggregates and the scored meters are written to
-    the scratch folder first; every returned frame reads only those.
+    the ``scratch`` folder (a new one by default) first; every returned frame reads only those, so the folder has to
+    stay while the frames are in use.
     """
-    scratch = scratch_dir(readings.sparkSession)
+    scratch = scratch or scratch_dir(readings.sparkSession)
     matches = broadcast_within(written(supply.weather_matches(weather), f"{scratch}/weather_matches"))
     rollup, generation = concurrently(
         [
