@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from verification.registry import QUERIES
-from wattledger.operators import carbon, demand, fraud, reports, supply
+from wattledger.operators import balance, carbon, demand, fraud, reports, supply
 from wattledger.plans import cubes
 from wattledger.plans.sizing import broadcast_within
 from wattledger.plans.storage import written
@@ -99,6 +99,14 @@ def test_zscores_of_large_tables_share_the_meter_shuffle(spark, grid, without_st
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
+def test_balance_joins_on_the_partitioning_of_its_sums(spark, grid, without_static_broadcast):
+    demands = demand.demand_by_district(grid.meter_readings)
+    supplies = supply.supply_by_district(grid.plant_output)
+    plan = planned(balance.grid_balance(demands, supplies))
+    assert "SortMergeJoin" in plan
+    assert plan.count("Exchange") == 2
+
+
 def test_readings_are_summed_by_hash_before_any_sort(grid):
     plan = planned(fraud.meter_totals(grid.meter_readings))
     scan_to_shuffle = plan[plan.rindex("Exchange") :]

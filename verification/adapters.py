@@ -7,6 +7,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wattledger import constants as C
 from wattledger.operators import supply
 from wattledger.plans.sizing import broadcast_within
 from wattledger.plans.storage import scratch_dir, written
@@ -110,9 +111,7 @@ class GridTables:
     @cached_property
     def plants(self) -> DataFrame:
         numbers = self._parquet("orders").select((F.col("o_custkey") % 50).alias("plant")).distinct()
-        unit_cost = _pick_number(
-            F.col("plant_type"), {"nuclear": 30, "coal": 40, "gas": 50, "hydro": 10, "wind": 5, "solar": 3}, 20
-        )
+        unit_cost = _pick_number(F.col("plant_type"), C.OPERATING_COSTS, 20)
         return numbers.select(*_named(_plant_columns(F.col("plant")))).select(
             "plant_id",
             _text(F.col("plant_id"), " ", F.col("plant_type")).alias("plant_name"),
