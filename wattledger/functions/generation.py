@@ -42,7 +42,9 @@ def solar_curve(hour: Column) -> Column:
 
 def availability(plant_type: Column, hour: Column, cloud: Column, wind: Column, precipitation: Column) -> Column:
     """Share of capacity a plant can use in an hour, within [0, 1]; NULL for an unknown type."""
-    left_by_weather = F.when(plant_type == "wind", wind).when(plant_type == "hydro", precipitation).otherwise(F.lit(1.0))
+    left_by_weather = (
+        F.when(plant_type == "wind", wind).when(plant_type == "hydro", precipitation).otherwise(F.lit(1.0))
+    )
     share = F.when(plant_type == "solar", solar_curve(hour) * cloud).otherwise(
         lookup(plant_type, C.BASE_AVAILABILITY) * left_by_weather
     )

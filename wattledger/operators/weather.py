@@ -68,8 +68,8 @@ def plant_availability(plant_hours: DataFrame, weather: DataFrame) -> DataFrame:
 def expected_output(plant_hours: DataFrame, weather: DataFrame) -> DataFrame:
     """Output and cost of each plant-hour under its weather.
 
-    ``plant_hours`` has plant columns with ``efficiency`` and, as ``operating_cost``, the cost per MWh; the result has the
-    schema of plant output, so the supply operators apply to it.
+    ``plant_hours`` has plant columns with ``efficiency`` and, as ``operating_cost``, the cost per MWh; the result has
+    the columns of plant output, so the supply operators apply to it.
     """
     output = generation.expected_output_mw(F.col("capacity_mw"), F.col("availability"), F.col("efficiency"))
     return (

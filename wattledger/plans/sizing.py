@@ -16,7 +16,7 @@ def broadcast_within(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataF
     shuffled. Select narrow, fixed-width columns first, so that the row bound is a size bound.
 
     Without the hint Spark sort-merges both sides, and adaptive execution splits skewed partitions. It can only do so if
-    ``df`` comes from a scan: the output of an aggregation should be written first (``storage.written``), which also saves
-    deriving it again for the count.
+    ``df`` comes from a scan: the output of an aggregation should be written first (``storage.written``), which also
+    saves deriving it again for the count.
     """
     return F.broadcast(df) if df.count() <= max_rows else df
