@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattledger.llm import counts, packing, records
+from wattledger.llm import counts, langid, packing, quality, records, simhash, substring, toxicity
 from wattledger.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,16 +18,44 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return build
 
 
+@query
+def op2_quality_rules(spark, sf_dir):
+    return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op3_toxicity(spark, sf_dir):
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op5_binary_records(spark, sf_dir):
     return records.write_and_digest(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_substring_dedup(spark, sf_dir):
+    return substring.substring_digests(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op6_substring_dedup"] = substring.ORACLE_SQL
+
+
 @query
 def op7_bin_completion_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_simhash_near_dedup(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_token_counts(spark, sf_dir):
     return counts.token_counts(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_language_id(spark, sf_dir):
+    return langid.identify_languages(table(spark, sf_dir, "documents"))
