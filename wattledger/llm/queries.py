@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattledger.llm import counts, langid, packing, quality, records, simhash, substring, toxicity
+from wattledger.llm import ann, counts, langid, packing, quality, records, simhash, substring, toxicity
 from wattledger.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,13 @@ def op3_toxicity(spark, sf_dir):
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op4_inverted_multi_index(spark, sf_dir):
+    """Neighbours of every hundredth vector among all."""
+    embeddings = table(spark, sf_dir, "embeddings")
+    return ann.nearest_neighbours(embeddings, embeddings.where("vec_id % 100 = 0"))
+
+
 @query
 def op5_binary_records(spark, sf_dir):
     return records.write_and_digest(table(spark, sf_dir, "documents"))
