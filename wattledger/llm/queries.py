@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattledger.llm import ann, counts, langid, packing, quality, records, simhash, substring, toxicity
+from wattledger.llm import ann, counts, langid, packing, quality, records, simhash, spm, substring, toxicity
 from wattledger.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,12 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return build
 
 
+@query
+def op1_sentencepiece(spark, sf_dir):
+    """Encoded and decoded again, as digests."""
+    return spm.encoding_digests(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_quality_rules(spark, sf_dir):
     return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
