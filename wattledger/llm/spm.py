@@ -4,7 +4,8 @@ A path through the lattice is a sequence of pieces that spell the text. Its weig
 the pieces' scores. For a BPE model it is 0 if all neighbouring pieces are compatible, that is if merging their joint
 text by the model's rules gives just these two, and minus infinity otherwise: a sequence of pieces is what merging the
 whole text gives if and only if all its neighbours are compatible, so exactly one path is left. Either way the
-best path is the library's encoding.
+best path is the library's encoding. (Of several unigram paths of equal weight, such as "aa" + "a" and "a" + "aa", the
+library's is taken within a chunk, and any of them across the chunks of a giant document. A BPE model has no ties.)
 
 A giant document is cut into chunks of equal length, anywhere. A chunk owns the pieces that begin in it, and its boundary states
 are the pieces that reach over (or end at) its first position. Each chunk by itself yields the matrix of the
@@ -213,7 +214,10 @@ class Model:
                     matrix[entry] = {e: reached[0] + middle + w for e, w in tail.items()}
         else:
             for entry in self.states(text, start):
-                matrix[entry] = self._exits(self.paths(text, entry[0], entry[1], stop), exits) if entry[0] < stop else {entry: 0.0}
+                if entry[0] < stop:
+                    matrix[entry] = self._exits(self.paths(text, entry[0], entry[1], stop), exits)
+                else:  # the piece reaches over the whole chunk
+                    matrix[entry] = {(entry[0], "") if (entry[0], "") in exits else entry: 0.0}
         return matrix
 
     def _exits(self, best: dict[int, tuple[float, str, int]], exits: list[State]) -> dict[State, float]:
