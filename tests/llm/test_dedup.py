@@ -1,0 +1,203 @@
+"""SimHash near-dedup and substring dedup against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+
+from tests.llm.conftest import DOCUMENTS, by_key, prose, text_of
+from wattledger.llm import simhash, substring
+from wattledger.llm.components import connected_components
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def plain_fingerprint(text: str) -> int:
+    words = WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text))
+    shingles = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] if len(words) >= 3 else [" ".join(words)] if words else []
+    ones = [0] * 64
+    for s in shingles:
+        h = xxhash.xxh64_intdigest(s.encode(), 42)
+        for b in range(64):
+            ones[b] += h >> b & 1
+    return sum(1 << b for b in range(64) if 2 * ones[b] > len(shingles))
+
+
+def roots(n: int, links) -> list[int]:
+    root = list(range(n))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in links:
+        i, j = find(i), find(j)
+        root[max(i, j)] = min(i, j)
+    return [find(i) for i in range(n)]
+
+
+def plain_components(prints: list[int]) -> list[int]:
+    return roots(len(prints), [(i, j) for i in range(len(prints)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 3])
+
+
+def plain_near_duplicates(rows):
+    prints = [plain_fingerprint(text_of(r)) for r in rows]
+    groups: dict[int, list] = {}
+    for r, root in zip(rows, root_of := plain_components(prints), strict=True):
+        groups.setdefault(root, []).append(r[0])
+    low = {root: min((i for i in ids if i is not None), default=None) for root, ids in groups.items()}
+    return sorted(((r[0], format(p, "016x"), low[root]) for r, p, root in zip(rows, prints, root_of, strict=True)), key=repr)
+
+
+def test_near_duplicates(awkward, awkward_rows):
+    assert by_key(simhash.near_duplicates(awkward), "doc_id", "fingerprint", "component_id") == plain_near_duplicates(awkward_rows)
+
+
+def test_near_duplicates_of_nothing(empty):
+    assert simhash.near_duplicates(empty).collect() == []
+    assert simhash.without_duplicates(empty).collect() == []
+
+
+def test_only_null_ids(spark):
+    df = spark.createDataFrame([(None, "a b c d", None, None, None)] * 2, DOCUMENTS)
+    assert [tuple(r) for r in simhash.near_duplicates(df).select("doc_id", "component_id").collect()] == [(None, None)] * 2
+    assert simhash.without_duplicates(df).count() == 2
+
+
+def test_one_of_each_component_stays(awkward, awkward_rows):
+    kept = simhash.without_duplicates(awkward)
+    assert kept.columns == awkward.columns
+    expected = [i for i, _, low in plain_near_duplicates(awkward_rows) if i is None or i == low]
+    assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == sorted(expected, key=repr)
+
+
+def clustered(seed: int, centres: int, near: int) -> np.ndarray:
+    rng = np.random.default_rng(seed)
+    out = set(rng.integers(0, 2**63, centres, dtype=np.uint64).tolist()) | {0, 2**64 - 1, 2**63}
+    for centre in list(out)[:10]:
+        for _ in range(near):
+            x = centre
+            for bit in rng.integers(0, 64, rng.integers(1, 7)):
+                x ^= 1 << int(bit)
+            out.add(x)
+    return np.array(sorted(out), dtype=np.uint64)
+
+
+@pytest.mark.parametrize("split_above", [20_000, 2])
+def test_trie_join_finds_every_component(spark, split_above):
+    prints = clustered(3, 150, 25)
+    df = spark.createDataFrame([(int(x),) for x in prints.view(np.int64)], "fp long")
+    place = {int(x): i for i, x in enumerate(prints.view(np.int64))}
+    links = [(place[r["a"]], place[r["b"]]) for r in simhash.fingerprint_links(df, 3, split_above).collect()]
+    values = [int(x) for x in prints]
+    assert all((values[i] ^ values[j]).bit_count() <= 3 for i, j in links)
+    assert roots(len(prints), links) == plain_components(values)
+
+
+@pytest.mark.parametrize("errors", [0, 1, 2, 3])
+def test_trie_traversal_with_other_budgets(errors):
+    keys = clustered(errors, 40, 30)
+    links = simhash.trie_links(keys, np.array([[0, len(keys), 0, len(keys), 0]]), 0, errors)
+    values = [int(x) for x in keys]
+    close = [(i, j) for i in range(len(values)) for j in range(i) if (values[i] ^ values[j]).bit_count() <= errors]
+    assert roots(len(keys), links) == roots(len(keys), close)
+
+
+def test_frontier_in_portions(monkeypatch):
+    monkeypatch.setattr(simhash, "_FRONTIER", 16)
+    test_trie_traversal_with_other_budgets(3)
+
+
+def test_components_of_paths_stars_and_loops(spark):
+    rnd = random.Random(5)
+    nodes = rnd.sample(range(-500, 500), 300)
+    edges = list(zip(nodes[:120], nodes[1:121], strict=True)) + [(nodes[150], x) for x in nodes[150:220]]
+    edges += [(7_000_000_000, -7_000_000_000), (5, 5)]
+    edges += [(rnd.choice(nodes[230:]), rnd.choice(nodes[230:])) for _ in range(40)]
+    df = spark.createDataFrame([*edges, (None, 3)], "a long, b long")
+    got = {r["node"]: r["root"] for r in connected_components(df).collect()}
+    names = sorted({x for e in edges for x in e})
+    found = roots(len(names), [(names.index(a), names.index(b)) for a, b in edges])
+    smallest = {n: names[r] for n, r in zip(names, found, strict=True)}
+    linked = {x for a, b in edges if a != b for x in (a, b)}
+    assert {n: got.get(n, n) for n in linked} == {n: smallest[n] for n in linked}
+
+
+def plain_cut(rows, window: int):
+    first: dict[tuple, int] = {}
+    words = [WORD.findall(text_of(r)) for r in rows]
+    for r, w in zip(rows, words, strict=True):
+        if r[0] is not None:
+            for i in range(len(w) - window + 1):
+                key = tuple(w[i : i + window])
+                first[key] = min(first.get(key, r[0]), r[0])
+    out = []
+    for r, w in zip(rows, words, strict=True):
+        gone = set()
+        if r[0] is not None:
+            for i in range(len(w) - window + 1):
+                if first[tuple(w[i : i + window])] < r[0]:
+                    gone.update(range(i, i + window))
+        out.append((r[0], len(w), len(gone), " ".join(x for i, x in enumerate(w) if i not in gone)))
+    return out
+
+
+def digested(cut):
+    return sorted(((i, n, g, hashlib.sha256(t.encode()).hexdigest()) for i, n, g, t in cut), key=repr)
+
+
+COLUMNS = ["doc_id", "n_words", "n_removed", "kept_sha256"]
+
+
+def test_substring_of_awkward_rows(awkward, awkward_rows):
+    assert by_key(substring.substring_digests(awkward), *COLUMNS) == digested(plain_cut(awkward_rows, 50))
+
+
+def patchwork(seed: int, n: int):
+    """Documents pieced together from few passages, so that many factors end in the middle of others."""
+    rnd = random.Random(seed)
+    passages = [prose(100 + i, rnd.randint(5, 90), "a b c d e") for i in range(12)]
+    texts = []
+    for i in range(n):
+        if i and rnd.random() < 0.3:
+            words = rnd.choice(texts).split()
+            if words and rnd.random() < 0.8:
+                words[rnd.randrange(len(words))] = "changed"
+            texts.append(" ".join(words))
+        else:
+            texts.append(" ".join([rnd.choice(passages) for _ in range(rnd.randint(0, 4))] + ["zz"] * rnd.choice([0, 0, 70])))
+    ids = rnd.sample(range(10 * n), n)
+    return [(i, t, None, None, None) for i, t in zip(ids, texts, strict=True)]
+
+
+@pytest.mark.parametrize(("seed", "window"), [(1, 50), (2, 50), (3, 20), (4, 9), (5, 3)])
+def test_substring_of_patchwork(spark, seed, window):
+    rows = patchwork(seed, 120)
+    df = spark.createDataFrame(rows, DOCUMENTS).repartition(5)
+    assert by_key(substring.substring_digests(df, window), *COLUMNS) == digested(plain_cut(rows, window))
+
+
+def test_segments_share_no_window_and_lose_none(monkeypatch):
+    monkeypatch.setattr(substring, "SEGMENT", 70)
+    words = prose(9, 400).encode().split()
+    starts = sorted(o + s for o, p in substring.segments(words, 50) for s in p.starts_of(np.arange(len(p.first))))
+    assert starts == list(range(400 - 49))
+    assert list(substring.segments(words[:49], 50)) == []
+
+
+def test_cut_texts_keep_all_columns(awkward, awkward_rows, empty):
+    cut = substring.without_repeats(awkward)
+    assert cut.columns == awkward.columns
+    assert dict(cut.dtypes) == dict(awkward.dtypes)
+    expected = [
+        (r[0], k if g else r[1], len(k) if g else r[4]) for r, (_, _, g, k) in zip(awkward_rows, plain_cut(awkward_rows, 50), strict=True)
+    ]
+    assert by_key(cut, "doc_id", "text", "n_chars") == sorted(expected, key=repr)
+    assert substring.without_repeats(empty).collect() == []
+    assert substring.substring_digests(empty).collect() == []

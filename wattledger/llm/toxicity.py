@@ -21,7 +21,8 @@ from wattledger.llm.common import id_crc, importable, map_arrow, texts_of
 
 MAX_TRAIN = 20_000  # labelled rows that lexicon and trees are fitted on
 LEXICON_SIZE = 400
-MIN_DOCUMENTS = 5  # toxic training texts that a lexicon entry occurs in
+MIN_DOCUMENTS = 3  # toxic training texts that a lexicon entry occurs in
+MIN_OCCURRENCES = 6  # and how often it does so altogether
 MIN_LOG_ODDS = 3.0
 STEMS = (4, 5)  # lexicon entries are words, and word beginnings of these lengths
 NEAR = 4  # words
@@ -217,16 +218,24 @@ def learnable(labels: DataFrame) -> DataFrame:
 
 
 def _entry_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
+    """Toxic texts, clean texts and occurrences in toxic texts of each entry, per task."""
+    texts: dict[int, Counter] = {0: Counter(), 1: Counter()}
+    occurrences: Counter[str] = Counter()
     for batch in batches:
         for toxic, text in zip(batch.column(0).to_pylist(), texts_of(batch, "content"), strict=True):
-            counts[toxic].update({e for w in set(text.split()) for e in entries(core(w.decode())) if e})
-    names = sorted(counts[0].keys() | counts[1].keys())
+            own: Counter[str] = Counter()
+            for word, n in Counter(text.split()).items():
+                for entry in entries(core(word.decode())):
+                    own[entry] += n
+            own.pop("", None)
+            texts[toxic].update(own.keys())
+            if toxic:
+                occurrences.update(own)
+    names = sorted(texts[0].keys() | texts[1].keys())
     for start in range(0, len(names), 50_000):
         some = names[start : start + 50_000]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(some, pa.string()), *(pa.array([counts[k][e] for e in some], pa.int64()) for k in (1, 0))], ["entry", "toxic", "clean"]
-        )
+        counts = [pa.array([x[e] for e in some], pa.int64()) for x in (texts[1], texts[0], occurrences)]
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.string()), *counts], ["entry", "toxic", "clean", "occurrences"])
 
 
 def train(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN) -> Model:
@@ -244,13 +253,13 @@ def train(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN) ->
     positive, negative = totals.get(1, 0), totals.get(0, 0)
     odds = F.log((F.col("t") + 0.5) / (positive + 1)) - F.log((F.col("c") + 0.5) / (negative + 1))
     found = (
-        map_arrow(known.select("toxic", "content"), _entry_counts, "entry string, toxic long, clean long")
+        map_arrow(known.select("toxic", "content"), _entry_counts, "entry string, toxic long, clean long, occurrences long")
         .groupBy("entry")
-        .agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"))
-        .where(F.col("t") >= MIN_DOCUMENTS)
-        .select("entry", "t", odds.alias("odds"))
+        .agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"), F.sum("occurrences").alias("n"))
+        .where((F.col("t") >= MIN_DOCUMENTS) & (F.col("n") >= MIN_OCCURRENCES))
+        .select("entry", "n", odds.alias("odds"))
         .where(F.col("odds") >= MIN_LOG_ODDS)
-        .orderBy(F.desc(F.col("t") * F.col("odds")), "entry")
+        .orderBy(F.desc(F.col("n") * F.col("odds")), "entry")
         .limit(LEXICON_SIZE)
     )
     lexicon = {r["entry"]: round(r["odds"], 6) for r in found.collect()}
