@@ -31,13 +31,13 @@ def clamp(x: Column, low: Column | float, high: Column | float | None = None) ->
     return limited.otherwise(x)
 
 
-def round_half_up(x: Column, digits: int) -> Column:
-    """x to ``digits`` decimals in double arithmetic, for magnitudes below 10^(18 - digits); NaN stays NaN.
+def round_half_even(x: Column, digits: int) -> Column:
+    """x to ``digits`` decimals, halves to the even neighbour, in double arithmetic; NaN and infinities stay as they are.
 
     ``F.round`` goes through a decimal object per value, which takes longer than all else a projection here does.
     """
     scale = F.lit(10.0**digits)
-    return F.when(F.isnan(x), x).otherwise(F.floor(x * scale + 0.5) / scale)
+    return F.rint(x * scale) / scale
 
 
 def lookup(key: Column, table: Mapping[str, float], default: float | None = None) -> Column:
@@ -51,9 +51,13 @@ def lookup(key: Column, table: Mapping[str, float], default: float | None = None
     return cases.otherwise(fallback)
 
 
-def with_hour(df: DataFrame) -> DataFrame:
-    """Add the hour of day, 0-23 with all days folded together; frames already grouped by ``hour`` keep theirs."""
-    return df if "hour" in df.columns else df.withColumn("hour", F.hour("timestamp"))
+def hour_of(df: DataFrame) -> Column:
+    """Hour of day, 0-23 with all days folded together.
+
+    Facts have a ``timestamp``; a column that happens to be called ``hour`` in them means nothing here. Pre-aggregates
+    have no ``timestamp`` and give the hour they were grouped by.
+    """
+    return (F.hour("timestamp") if "timestamp" in df.columns else F.col("hour")).alias("hour")
 
 
 def literal_rows(spark: SparkSession, names: Sequence[str], rows: Sequence[Sequence]) -> DataFrame:

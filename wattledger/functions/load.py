@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from wattledger import constants as C
-from wattledger.functions.common import clamp, lookup, round_half_up
+from wattledger.functions.common import clamp, lookup, round_half_even
 
 SATURDAY = 5
 
@@ -27,4 +27,4 @@ def load_factor(meter_type: Column, timestamp: Column) -> Column:
 
 def expected_kwh(base_consumption: Column, meter_type: Column, timestamp: Column) -> Column:
     kwh = clamp(base_consumption * load_factor(meter_type, timestamp), C.MIN_EXPECTED_KWH)
-    return round_half_up(kwh, 4)
+    return round_half_even(kwh, 4)

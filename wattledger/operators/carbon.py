@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wattledger import constants as C
 from wattledger.functions import emissions as E
-from wattledger.functions.common import literal_rows, ratio_or, with_hour
+from wattledger.functions.common import hour_of, literal_rows, ratio_or
 
 
 def with_emissions(plant_output: DataFrame) -> DataFrame:
@@ -20,8 +20,8 @@ def emission_pairs(plant_output: DataFrame) -> DataFrame:
 
 
 def emission_factors(spark: SparkSession) -> DataFrame:
-    """The constant factor table as a frame: one row per known plant type."""
-    return literal_rows(spark, ["plant_type", "factor"], list(C.EMISSION_FACTORS.items()))
+    """The constant factor table as a frame: one row per known plant type, which bounds the broadcast it is hinted for."""
+    return F.broadcast(literal_rows(spark, ["plant_type", "factor"], list(C.EMISSION_FACTORS.items())))
 
 
 def emission_pairs_by_join(plant_output: DataFrame, factors: DataFrame) -> DataFrame:
@@ -41,7 +41,7 @@ def emissions_by_district(plant_output: DataFrame) -> DataFrame:
 
 
 def emissions_by_hour(plant_output: DataFrame) -> DataFrame:
-    return with_hour(with_emissions(plant_output)).groupBy("hour").agg(F.sum("co2_tons").alias("total_co2_tons"))
+    return with_emissions(plant_output).groupBy(hour_of(plant_output)).agg(F.sum("co2_tons").alias("total_co2_tons"))
 
 
 def _sum_where(condition, value: str):
@@ -73,6 +73,12 @@ def renewable_share(plant_output: DataFrame) -> DataFrame:
     return _with_renewable_share(plant_output.agg(*_renewable_sums()))
 
 
+def generation_by_class(plant_output: DataFrame) -> DataFrame:
+    """Output of renewable and non-renewable plants; a class without plants has no row."""
+    by_type = plant_output.groupBy("plant_type").agg(F.sum("output_mw").alias("mw"))
+    return by_type.groupBy(E.energy_class(F.col("plant_type")).alias("energy_class")).agg(F.sum("mw").alias("total_output_mw"))
+
+
 def _total(frame: DataFrame, column: str) -> DataFrame:
     return frame.agg(F.coalesce(F.sum(column), F.lit(0.0)).alias(column))
 

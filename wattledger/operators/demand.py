@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattledger.functions.common import with_hour
+from wattledger.functions.common import hour_of
 
 
 def demand_pairs(readings: DataFrame) -> DataFrame:
@@ -22,7 +22,7 @@ def demand_by_district(readings: DataFrame) -> DataFrame:
 
 
 def demand_by_district_hour(readings: DataFrame) -> DataFrame:
-    return with_hour(readings).groupBy("district_id", "hour").agg(F.sum("kwh").alias("total_demand_kwh"))
+    return readings.groupBy("district_id", hour_of(readings)).agg(F.sum("kwh").alias("total_demand_kwh"))
 
 
 def demand_by_meter_type(readings: DataFrame) -> DataFrame:

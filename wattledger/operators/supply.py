@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattledger import constants as C
-from wattledger.functions.common import ratio_or, with_hour
+from wattledger.functions.common import hour_of, ratio_or
 
 MEASURES = ("output_mw", "capacity_mw", "operating_cost")
 
@@ -55,7 +55,7 @@ def supply_by_plant_type(output: DataFrame) -> DataFrame:
 
 
 def supply_by_district_hour(output: DataFrame) -> DataFrame:
-    return with_hour(output).groupBy("district_id", "hour").agg(F.sum("output_mw").alias("total_supply_mw"))
+    return output.groupBy("district_id", hour_of(output)).agg(F.sum("output_mw").alias("total_supply_mw"))
 
 
 def capacity_utilization(output: DataFrame) -> DataFrame:

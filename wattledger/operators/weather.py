@@ -4,32 +4,47 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wattledger import constants as C
 from wattledger.functions import generation, load
-from wattledger.functions.common import literal_rows, round_half_up
+from wattledger.functions.common import literal_rows, round_half_even
 from wattledger.operators.supply import enrich_with_weather
 
 
 def hourly_spine(
-    dimension: DataFrame, start: datetime | str, hours: int = C.DEFAULT_HOURS, partitions: int | None = None
+    dimension: DataFrame, start: datetime | str | Column, hours: int = C.DEFAULT_HOURS, partitions: int | None = None
 ) -> DataFrame:
     """Every row of ``dimension`` at every hour of the period, as an added ``timestamp`` column.
 
-    Hours are generated within each row, so nothing is joined or shuffled. A dimension that sits in few files can be
+    ``start`` is one time for all rows, or a column of ``dimension`` with each row's own. Hours are generated within each row, so nothing is joined or shuffled. A dimension that sits in few files can be
     spread over ``partitions`` tasks first.
     """
     if hours < 1:
         raise ValueError("a period has at least one hour")
-    first = F.lit(str(start)).cast("timestamp_ntz")
+    first = start if isinstance(start, Column) else F.lit(str(start)).cast("timestamp_ntz")
     timestamps = F.sequence(first, first + F.make_dt_interval(F.lit(0), F.lit(hours - 1)), F.expr("INTERVAL 1 HOUR"))
     spread = dimension.repartition(partitions) if partitions else dimension
     return spread.withColumn("timestamp", F.explode(timestamps))
 
 
+def reporting_gaps(records: DataFrame, key: str) -> DataFrame:
+    """Hours between two records of the same ``key`` that have none: id, last_hour, next_hour and missing_hours.
+
+    Records need a ``timestamp``; rows without one, or without a key, are left out. Equal hours are reduced to one before
+    they are ordered, so a key holds as many rows as it has hours.
+    """
+    hour = F.date_trunc("HOUR", "timestamp").cast("timestamp_ntz")
+    known = records.where(F.col(key).isNotNull() & F.col("timestamp").isNotNull())
+    hours = known.select(F.col(key).alias("id"), hour.alias("next_hour")).distinct()
+    before = F.lag("next_hour").over(Window.partitionBy("id").orderBy("next_hour"))
+    missing = F.timestamp_diff("HOUR", F.col("last_hour"), F.col("next_hour")) - 1
+    gaps = hours.withColumn("last_hour", before).withColumn("missing_hours", missing)
+    return gaps.where("missing_hours > 0").select("id", "last_hour", "next_hour", "missing_hours")
+
+
 def weather_factors(weather: DataFrame) -> DataFrame:
     """Factors of the named conditions; NULL for an unknown name."""
     return weather.select(
@@ -81,9 +96,9 @@ def expected_output(plant_hours: DataFrame, weather: DataFrame) -> DataFrame:
             "plant_type",
             "district_id",
             "capacity_mw",
-            round_half_up(F.col("availability"), 3).alias("availability"),
-            round_half_up(F.col("expected_mw"), 2).alias("output_mw"),
-            round_half_up(F.col("expected_mw") * F.col("operating_cost"), 2).alias("operating_cost"),
+            round_half_even(F.col("availability"), 3).alias("availability"),
+            round_half_even(F.col("expected_mw"), 2).alias("output_mw"),
+            round_half_even(F.col("expected_mw") * F.col("operating_cost"), 2).alias("operating_cost"),
         )
     )
 
@@ -96,10 +111,16 @@ def load_factors(meter_hours: DataFrame) -> DataFrame:
 
 
 def expected_consumption(meter_hours: DataFrame) -> DataFrame:
-    """Energy each meter is expected to use in each hour; ``meter_hours`` is a spine over the meters table."""
+    """Energy each meter is expected to use in each hour, next to the recorded ``kwh`` where there is such a column.
+
+    ``meter_hours`` has the meters' base_consumption and meter_type: recorded hours joined with the meters, or a spine over
+    the meters table for hours to come.
+    """
+    recorded = ["kwh"] if "kwh" in meter_hours.columns else []
     return meter_hours.select(
         "timestamp",
         "meter_id",
+        *recorded,
         load.expected_kwh(F.col("base_consumption"), F.col("meter_type"), F.col("timestamp")).alias("expected_kwh"),
     )
 

@@ -10,20 +10,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattledger.functions.common import with_hour
+from wattledger.functions.common import hour_of
 from wattledger.operators.supply import MEASURES
 
 
 def demand_cube(readings: DataFrame) -> DataFrame:
     """Energy by district, meter type and hour of day: serves the demand operators."""
-    return with_hour(readings).groupBy("district_id", "meter_type", "hour").agg(F.sum("kwh").alias("kwh"))
+    return readings.groupBy("district_id", "meter_type", hour_of(readings)).agg(F.sum("kwh").alias("kwh"))
 
 
 def readings_rollup(readings: DataFrame) -> DataFrame:
     """``demand_cube`` and the sums by meter and district in one scan, told apart by ``per_meter``."""
     keys = ["meter_id", "district_id", "meter_type", "hour"]
     sets = [["district_id", "meter_type", "hour"], ["meter_id", "district_id"]]
-    return with_hour(readings).groupingSets(sets, *keys).agg(
+    return readings.withColumn("hour", hour_of(readings)).groupingSets(sets, *keys).agg(
         (F.grouping("meter_id") == 0).alias("per_meter"), F.sum("kwh").alias("kwh")
     )
 
@@ -43,8 +43,8 @@ def generation_cube(plant_output: DataFrame, matches: DataFrame) -> DataFrame:
     ``matches`` of the weather join, for the supply operators.
     """
     weight = F.coalesce(F.col("matches"), F.lit(1))
-    joined = with_hour(plant_output.join(matches, "timestamp", "left"))
-    return joined.groupBy("district_id", "plant_type", "hour").agg(
+    joined = plant_output.join(matches, "timestamp", "left")
+    return joined.groupBy("district_id", "plant_type", hour_of(joined)).agg(
         F.sum("output_mw").alias("raw_output_mw"), *[F.sum(F.col(m) * weight).alias(m) for m in MEASURES]
     )
 
