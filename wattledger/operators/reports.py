@@ -113,35 +113,44 @@ def renewable_mix(plant_output: DataFrame) -> DataFrame:
 
 
 def demand_metrics(readings: DataFrame) -> DataFrame:
-    """Metric rows: total demand, number of districts, demand of each meter type. One pass over the readings."""
+    """Metric rows: total demand, number of districts, demand of each meter type. One pass over the readings.
+
+    The two totals are there, as zeros, without readings too.
+    """
     base = readings.groupBy("district_id", "meter_type").agg(F.sum("kwh").alias("kwh"))
-    districts = F.count_distinct("district_id") + F.max(F.col("district_id").isNull().cast("int"))
-    rolled = base.rollup("meter_type").agg(
-        F.grouping("meter_type").alias("is_total"),
-        F.sum("kwh").alias("kwh"),
-        F.coalesce(districts, F.lit(0)).cast("double").alias("districts"),
-    )
-    metric = lambda name, value: F.struct(name.alias("metric"), F.col(value).alias("value"))
-    rows = F.when(
-        F.col("is_total") == 1,
-        F.array(metric(F.lit("Total Demand"), "kwh"), metric(F.lit("Districts Monitored"), "districts")),
-    ).otherwise(F.array(metric(F.initcap("meter_type"), "kwh")))
-    return rolled.select(F.inline(rows))
+    districts = F.count_distinct("district_id") + F.coalesce(F.max(F.col("district_id").isNull().cast("int")), F.lit(0))
+    totals = base.agg(F.coalesce(F.sum("kwh"), F.lit(0.0)).alias("kwh"), districts.cast("double").alias("districts"))
+    metric = lambda name, value: F.struct(F.lit(name).alias("metric"), F.col(value).alias("value"))
+    rows = F.array(metric("Total Demand", "kwh"), metric("Districts Monitored", "districts"))
+    by_type = base.groupBy("meter_type").agg(F.sum("kwh").alias("value"))
+    return totals.select(F.inline(rows)).unionByName(by_type.select(F.initcap("meter_type").alias("metric"), "value"))
 
 
 def supply_metrics(output: DataFrame) -> DataFrame:
-    """Output and utilization per plant type, and a Total row without utilization."""
-    rolled = output.rollup("plant_type").agg(
-        F.grouping("plant_type").alias("is_total"),
-        F.sum("output_mw").alias("total_output_mw"),
-        F.sum("capacity_mw").alias("total_capacity_mw"),
+    """Output and utilization per plant type, and a Total row without utilization, which is 0 without output.
+
+    The facts are aggregated by type first; only those sums are rolled up, next to a row of NULLs that keeps the total.
+    """
+    by_type = output.groupBy("plant_type").agg(
+        F.sum("output_mw").alias("output"), F.sum("capacity_mw").alias("capacity"), F.lit(True).alias("known")
+    )
+    nothing = output.sparkSession.range(1).select(
+        F.lit(None).cast("string").alias("plant_type"),
+        F.lit(None).cast("double").alias("output"),
+        F.lit(None).cast("double").alias("capacity"),
+        F.lit(False).alias("known"),
+    )
+    rolled = by_type.unionByName(nothing).rollup("plant_type").agg(
+        (F.grouping("plant_type") == 1).alias("is_total"),
+        F.sum("output").alias("output"),
+        F.sum("capacity").alias("capacity"),
+        F.max("known").alias("known"),
     )
-    is_total = F.col("is_total") == 1
-    rate = ratio_or(F.col("total_output_mw"), F.col("total_capacity_mw"), 0.0)
-    return rolled.select(
+    is_total = F.col("is_total")
+    return rolled.where(is_total | F.col("known")).select(
         F.when(is_total, "Total").otherwise(F.initcap("plant_type")).alias("plant_type"),
-        "total_output_mw",
-        F.when(~is_total, rate).alias("utilization_rate"),
+        F.when(is_total, F.coalesce("output", F.lit(0.0))).otherwise(F.col("output")).alias("total_output_mw"),
+        F.when(~is_total, ratio_or(F.col("output"), F.col("capacity"), 0.0)).alias("utilization_rate"),
     )
 
 
