@@ -55,23 +55,25 @@ def valid_district_stats(stats: DataFrame) -> DataFrame:
     return stats.where("valid_stats")
 
 
-def meter_zscores(totals: DataFrame, stats: DataFrame, salts: int = 16) -> DataFrame:
+def meter_zscores(totals: DataFrame, stats: DataFrame, salts: int = 1) -> DataFrame:
     """Score, status and fraud type of every meter of a district with valid statistics.
 
     Statistics are joined back rather than computed by a window over the district, which would bring all meters of a
-    district into one task. Where they are too many to broadcast, each district is spread over ``salts`` join keys.
+    district into one task. Hint them for broadcast where their number is known to be small; where it is not, ``salts``
+    spreads each district over that many join keys.
     """
     reference = valid_district_stats(stats).select(
-        "district_id",
-        F.col("mean_kwh").alias("district_mean"),
-        F.col("stddev_kwh").alias("district_stddev"),
-        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"),
+        "district_id", F.col("mean_kwh").alias("district_mean"), F.col("stddev_kwh").alias("district_stddev")
     )
-    # never NULL, and known to be: a check for NULL salts would reach the readings and cost the shared shuffle
-    salted = totals.withColumn("salt", F.coalesce(F.pmod(F.hash("meter_id"), F.lit(salts)), F.lit(0)))
+    keys = ["district_id"]
+    if salts > 1:
+        keys.append("salt")
+        reference = reference.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        # never NULL, and known to be: a check for NULL salts would reach the readings and cost the shared shuffle
+        totals = totals.withColumn("salt", F.coalesce(F.pmod(F.hash("meter_id"), F.lit(salts)), F.lit(0)))
     z = F.col("zscore")
     return (
-        salted.join(reference, ["district_id", "salt"])
+        totals.join(reference, keys)
         .select("meter_id", "district_id", "total_kwh", "district_mean", "district_stddev")
         .withColumn("zscore", anomaly.zscore(F.col("total_kwh"), F.col("district_mean"), F.col("district_stddev")))
         .withColumns({"status": anomaly.meter_status(z), "fraud_type": anomaly.fraud_type(z)})
