@@ -5,12 +5,13 @@ A written table survives the loss of executors; what reads it does not recompute
 
 from __future__ import annotations
 
-import tempfile
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from typing import TypeVar
 from uuid import uuid4
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -18,25 +19,34 @@ T = TypeVar("T")
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A new folder name under the session's ``spark.checkpoint.dir``.
-
-    Without that setting a local session gets a temporary folder; a cluster session must name a shared folder.
-    """
+    """A new folder name under the session's ``spark.checkpoint.dir``, which has to be a folder all executors reach."""
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="wattledger-")
+        raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors can reach")
     return f"{root.rstrip('/')}/wattledger-{uuid4().hex}"
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A new scratch folder that is deleted at the end, for frames that are saved before."""
+    path = scratch_dir(spark)
+    try:
+        yield path
+    finally:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def written(df: DataFrame, path: str, *partition_by: str) -> DataFrame:
-    """Write ``df`` as Parquet to ``path`` and return the table read back."""
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    """Write ``df`` as Parquet to ``path``, which must not exist, and return the table read back."""
+    df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def concurrently(actions: Iterable[Callable[[], T]], jobs: int = 4) -> list[T]:
-    """Results of independent actions, submitted to Spark ``jobs`` at a time so that one fills the tail of another."""
+def concurrently(spark: SparkSession, actions: Iterable[Callable[[], T]], jobs: int = 4) -> list[T]:
+    """Results of independent actions, submitted to Spark ``jobs`` at a time so that one fills the tail of another.
+
+    The threads inherit the caller's job group, tags and scheduler pool.
+    """
     with ThreadPoolExecutor(jobs) as pool:
-        return list(pool.map(lambda action: action(), actions))
+        return list(pool.map(lambda run: run(), [inheritable_thread_target(spark)(action) for action in actions]))

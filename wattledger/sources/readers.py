@@ -7,28 +7,39 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wattledger.schemas import TABLES
 
-TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
+CORRUPT = "_corrupt_record"
+# stands for NULL in no file: an unquoted empty cell is NULL, a quoted one an empty string
+_NEVER = "\u0000"
 
 
-def read_table(spark: SparkSession, table: str, path: str, fmt: str = "csv") -> DataFrame:
-    """A table of ``wattledger.schemas.TABLES`` from CSV with a header, or from Parquet.
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, on_bad_rows: str = "fail") -> DataFrame:
+    """CSV with a header, which has to match the schema.
 
-    A malformed CSV cell reads as NULL; a CSV header that differs from the schema fails the read.
+    on_bad_rows: "fail" ends the query at the first row that does not parse. "keep" reads what does parse of it, NULL
+    for the rest, and gives the row's text in an added column ``_corrupt_record``, NULL for whole rows.
+    Timestamps may have fractions of seconds. Cells have no line breaks, so that files can be split.
     """
-    reader = spark.read.schema(TABLES[table])
+    if on_bad_rows not in ("fail", "keep"):
+        raise ValueError(f"unknown treatment of bad rows: {on_bad_rows}")
+    reader = spark.read.option("header", True).option("enforceSchema", False).option("nullValue", _NEVER).option("escape", '"')
+    if on_bad_rows == "fail":
+        return reader.schema(schema).option("mode", "FAILFAST").csv(path)
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    kept = T.StructType([*fields.fields, T.StructField(CORRUPT, T.StringType())])
+    return reader.schema(kept).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+
+
+def read_table(spark: SparkSession, table: str, path: str, fmt: str = "csv", on_bad_rows: str = "fail") -> DataFrame:
+    """A table of ``wattledger.schemas.TABLES`` from CSV (see ``read_csv``) or from Parquet."""
     if fmt == "parquet":
-        return reader.parquet(path)
+        return spark.read.schema(TABLES[table]).parquet(path)
     if fmt != "csv":
         raise ValueError(f"unsupported format: {fmt}")
-    return (
-        reader.option("header", True)
-        .option("enforceSchema", False)
-        .option("timestampNTZFormat", TIMESTAMP_FORMAT)
-        .csv(path)
-    )
+    return read_csv(spark, path, TABLES[table], on_bad_rows)
 
 
 def read_meter_readings(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
@@ -43,18 +54,6 @@ def read_weather(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     return read_table(spark, "weather", path, fmt)
 
 
-def read_districts(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    return read_table(spark, "districts", path, fmt)
-
-
-def read_meters(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    return read_table(spark, "meters", path, fmt)
-
-
-def read_plants(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    return read_table(spark, "plants", path, fmt)
-
-
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per table: its name and number of rows, as one distributed count each."""
     counts = [
@@ -62,3 +61,17 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
         for name, df in tables.items()
     ]
     return reduce(DataFrame.unionByName, counts)
+
+
+def malformed_row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per table read with ``on_bad_rows="keep"``: its name, number of rows and number of damaged rows.
+
+    Spark parses only the columns that a query uses, so every column takes part in the count: a row counts 1 more than its
+    hash modulo 1, which is 0.
+    """
+    counts = []
+    for name, df in tables.items():
+        every = F.pmod(F.xxhash64(*[c for c in df.columns if c != CORRUPT]), F.lit(1)) + 1
+        found = df.agg(F.coalesce(F.sum(every), F.lit(0)).alias("row_count"), F.count_if(F.col(CORRUPT).isNotNull()).alias("malformed_rows"))
+        counts.append(found.select(F.lit(name).alias("table_name"), "row_count", "malformed_rows"))
+    return reduce(DataFrame.unionByName, counts)
