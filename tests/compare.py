@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 def duckdb_over(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
-    for table in ("lineitem", "orders"):
+    for table in ("lineitem", "orders", "part", "customer"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     return con
 

@@ -453,14 +453,62 @@ def test_clamp_keeps_null(frame):
 
 
 @pytest.mark.parametrize(
-    ("x", "expected"), [(0.405, 0.41), (1.004, 1.0), (-1.236, -1.24), (0.0, 0.0), (123456789.125, 123456789.13), (None, None)]
+    ("x", "digits", "expected"),
+    [
+        (0.406, 2, 0.41),
+        (1.004, 2, 1.0),
+        (-1.236, 2, -1.24),
+        (0.0, 2, 0.0),
+        (0.125, 2, 0.12),
+        (-0.125, 2, -0.12),
+        (-0.375, 2, -0.38),
+        (-2.5, 0, -2.0),
+        (123456789.126, 2, 123456789.13),
+        (4.0e13, 6, 4.0e13),
+        (-2.5e13, 6, -2.5e13),
+        (9.3e18, 2, 9.3e18),
+        (1e300, 6, 1e300),
+        (float("inf"), 6, float("inf")),
+        (float("-inf"), 2, float("-inf")),
+        (None, 2, None),
+    ],
 )
-def test_rounding(frame, x, expected):
-    rounding = lambda c: common.round_half_up(c, 2)
+def test_rounding(frame, x, digits, expected):
+    rounding = lambda c: common.round_half_even(c, digits)
     assert evaluate(frame, rounding, x) == expected
     assert math.isnan(evaluate(frame, rounding, NAN))
 
 
+def test_the_hour_comes_from_the_timestamp(frame):
+    """A column that is called hour in the facts is not the hour of the day."""
+    readings = frame([("2024-06-01 05:00:00", "D1", 1.0, 99)], "timestamp STRING, district_id STRING, kwh DOUBLE, hour INT")
+    assert values(demand.demand_by_district_hour(readings), "hour") == [(5,)]
+
+
+def test_generation_by_class(frame):
+    rows = [("wind", 1.0), ("solar", 2.0), ("coal", 4.0), (None, 8.0), ("coal", None)]
+    found = carbon.generation_by_class(frame(rows, "plant_type STRING, output_mw DOUBLE"))
+    assert values(found) == [("non_renewable", 12.0), ("renewable", 3.0)]
+
+
+def test_reporting_gaps(frame):
+    rows = [("2024-06-01 05:00:00", "P1"), ("2024-06-01 05:30:00", "P1"), ("2024-06-01 09:00:00", "P1"), ("2024-06-01 10:00:00", "P1"),
+            ("2024-06-01 05:00:00", "P2"), (None, "P2"), ("2024-06-02 05:00:00", None)]
+    gaps = weather.reporting_gaps(frame(rows, "timestamp STRING, plant_id STRING"), "plant_id")
+    assert [(r["id"], str(r["last_hour"]), str(r["next_hour"]), r["missing_hours"]) for r in gaps.collect()] == [
+        ("P1", "2024-06-01 05:00:00", "2024-06-01 09:00:00", 3)
+    ]
+
+
+def test_spine_from_each_rows_own_start(frame):
+    dims = frame([("2024-06-01 00:00:00", "a"), ("2024-07-01 00:00:00", "b")], "timestamp STRING, id STRING")
+    dims = dims.withColumnRenamed("timestamp", "first")
+    spine = weather.hourly_spine(dims, F.col("first"), hours=2)
+    assert [(r["id"], str(r["timestamp"])) for r in sorted(spine.collect())] == [
+        ("a", "2024-06-01 00:00:00"), ("a", "2024-06-01 01:00:00"), ("b", "2024-07-01 00:00:00"), ("b", "2024-07-01 01:00:00")
+    ]
+
+
 # empty input
 
 
@@ -483,6 +531,8 @@ def test_empty_input(frame):
     ):
         assert empty.count() == 0
     assert tuple(fraud.fraud_impact(scores).first()) == (0, 0, 0.0, 0.0, 0.0)
+    assert values(reports.demand_metrics(readings)) == [("Districts Monitored", 0.0), ("Total Demand", 0.0)]
+    assert values(reports.supply_metrics(output)) == [("Total", 0.0, None)]
     assert tuple(balance.blackout_risk_summary(balances).first()) == (0, 0, 0, 0, 0, "", 0.0, 0)
     assert tuple(carbon.renewable_share(output).first()) == (0.0, 0.0, 0.0, 0.0, False, False)
     assert tuple(carbon.carbon_summary(output, supplies).first()) == (0.0, 0.0, "GREEN", 0.0, 0.0, 0.0, 0.0, False, False)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from verification.registry import QUERIES
 from wattledger.operators import balance, carbon, demand, fraud, reports, supply
 from wattledger.plans import cubes
+from wattledger.plans.scoring import meter_scores
 from wattledger.plans.sizing import broadcast_within
 from wattledger.plans.storage import written
 
@@ -35,7 +36,7 @@ def executed(df) -> str:
 FORBIDDEN = ("Python", "ExistingRDD", "CartesianProduct", "BroadcastNestedLoopJoin")
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n != "full_run_row_counts"])
+@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith("full_run_")])
 def test_no_python_no_rdd_no_cross_join(grid, name):
     plan = planned(QUERIES[name](grid))
     assert not [word for word in FORBIDDEN if word in plan]
@@ -86,19 +87,41 @@ def test_beyond_the_bound_the_weather_join_still_runs(grid, without_static_broad
         assert a["total_supply_mw"] == pytest.approx(b["total_supply_mw"])
 
 
-def test_zscores_of_large_tables_share_the_meter_shuffle(spark, grid, without_static_broadcast):
-    """Statistics and scores read one shuffle of the readings; the statistics turn out small and are broadcast."""
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "10MB")
-    try:
-        totals = fraud.meter_totals(grid.meter_readings)
-        plan = executed(fraud.meter_zscores(totals, fraud.district_stats(totals)))
-    finally:
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
-    assert plan.count("FileScan") == 1
-    assert "ReusedExchange" in plan
+def test_statistics_are_the_broadcast_side_of_the_scores(grid, tmp_path, without_static_broadcast):
+    """The totals are neither shuffled again nor salted; the statistics are broadcast, as they are counted to be few."""
+    _, scores = meter_scores(fraud.meter_district_sums(grid.meter_readings), str(tmp_path / "scores"))
+    plan = executed(scores)
+    assert "BroadcastHashJoin" in plan and "BuildRight" in plan and "SortMergeJoin" not in plan
+    assert plan.count("Exchange") == 1 and "Generate" not in plan
+    assert "valid_stats" in plan[plan.index("BroadcastExchange") :]
+
+
+def test_scores_beyond_the_broadcast_bound_are_salted_and_the_same(grid, tmp_path, without_static_broadcast):
+    sums = fraud.meter_district_sums(grid.meter_readings)
+    _, hinted = meter_scores(sums, str(tmp_path / "hinted"))
+    _, salted = meter_scores(sums, str(tmp_path / "salted"), max_districts=1)
+    assert "salt" in executed(salted) and "BroadcastHashJoin" not in executed(salted)
+    assert sorted(hinted.collect()) == sorted(salted.collect())
+
+
+def test_factors_are_broadcast_by_themselves(spark, grid, without_static_broadcast):
+    plan = planned(carbon.emission_pairs_by_join(grid.plant_output, carbon.emission_factors(spark)))
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
+def test_dashboard_expands_no_facts(grid):
+    for frame in (reports.supply_metrics(grid.plant_output), reports.demand_metrics(grid.meter_readings)):
+        plan = executed(frame)
+        assert plan.count("FileScan") == 1
+        from_scan = plan[: plan.index("FileScan")]
+        assert "Expand" not in from_scan[from_scan.rindex("partial_sum") :]
+
+
+def test_supply_queries_scan_each_fact_once(grid):
+    plan = executed(supply.supply_by_district(grid.weighted_output))
+    assert plan.count("orders.parquet") <= 1 and plan.count("lineitem.parquet") == 0
+
+
 def test_balance_joins_on_the_partitioning_of_its_sums(spark, grid, without_static_broadcast):
     demands = demand.demand_by_district(grid.meter_readings)
     supplies = supply.supply_by_district(grid.plant_output)
@@ -149,7 +172,7 @@ def test_a_hot_hour_is_split_beyond_the_broadcast_bound(grid, tmp_path, eager_sk
     """A third of the plant output in one hour, joined with weather that is not broadcast."""
     hot = F.when(F.hash("plant_id", "output_mw") % 3 == 0, F.lit("1998-01-01 00:00:00").cast("timestamp_ntz"))
     output = grid.plant_output.withColumn("timestamp", F.coalesce(hot, F.col("timestamp"))).repartition(8)
-    weather = written(grid.weather, str(tmp_path / "weather"))
+    weather = written(grid.weather.dropDuplicates(["timestamp"]), str(tmp_path / "weather"))
     enriched = supply.enrich_with_weather(output, broadcast_within(weather, max_rows=10))
     assert "SortMergeJoin(skew=true)" in executed(enriched)
     assert enriched.count() == output.count()
@@ -169,7 +192,7 @@ def test_a_hot_district_is_spread_if_statistics_are_not_broadcast(spark, without
     )
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        scores = fraud.meter_zscores(totals, fraud.district_stats(totals))
+        scores = fraud.meter_zscores(totals, fraud.district_stats(totals), salts=16)
         assert "SortMergeJoin" in planned(scores)
         sizes = [r["count"] for r in scores.groupBy(F.spark_partition_id().alias("task")).count().collect()]
     finally:

@@ -39,10 +39,44 @@ def test_hour_does_not_depend_on_the_session_time_zone(spark, tmp_path):
         spark.conf.set("spark.sql.session.timeZone", before)
 
 
-def test_malformed_cells_read_as_null(spark, tmp_path):
-    path = csv_file(tmp_path, HEADER, "yesterday,M1,D1,residential,much,240.1,", ",,,,,,")
-    rows = values(readers.read_meter_readings(spark, path), "timestamp", "kwh", "power_factor")
-    assert rows == [(None, None, None), (None, None, None)]
+DAMAGED = ["yesterday,M1,D1,residential,much,240.1,", ",,,,,,", "2024-06-01 00:00:00,M1", "2024-06-01 00:00:00,M1,D1,r,1,1,1"]
+
+
+def test_damaged_rows_fail_by_default(spark, tmp_path):
+    path = csv_file(tmp_path, HEADER, DAMAGED[0])
+    with pytest.raises(Exception, match="(?i)malformed"):
+        readers.read_meter_readings(spark, path).collect()
+    assert values(readers.read_meter_readings(spark, csv_file(tmp_path, HEADER, DAMAGED[1])), "kwh") == [(None,)]
+
+
+def test_damaged_rows_are_kept_and_counted_on_demand(spark, tmp_path):
+    path = csv_file(tmp_path, HEADER, *DAMAGED)
+    readings = readers.read_table(spark, "meter_readings", path, on_bad_rows="keep")
+    assert values(readings, readers.CORRUPT) == sorted([(DAMAGED[0],), (DAMAGED[2],), (None,), (None,)], key=repr)
+    assert values(readings.where("kwh IS NOT NULL"), "kwh") == [(1.0,)]
+    assert values(readers.malformed_row_counts({"readings": readings})) == [("readings", 4, 2)]
+    with pytest.raises(ValueError, match="bad rows"):
+        readers.read_csv(spark, path, TABLES["meter_readings"], "guess")
+
+
+def test_csv_loses_nothing(spark, frame, tmp_path):
+    rows = [
+        ("2024-06-01 00:00:00.75", 'a "quoted", text'),
+        ("2024-06-01 00:00:00", ""),
+        ("2024-06-01 00:00:00.000001", None),
+        (None, "back\\slash, 'single'"),
+        ("1999-12-31 23:59:59", " spaces "),
+    ]
+    df = frame(rows, "timestamp STRING, address STRING")
+    path = str(tmp_path / "out")
+    writers.write_csv(df, path)
+    assert values(readers.read_csv(spark, path, df.schema)) == values(df)
+
+
+@pytest.mark.parametrize("text", ["two\nlines", "two\r\nlines"])
+def test_line_breaks_are_refused(frame, tmp_path, text):
+    with pytest.raises(Exception, match="line break in CSV column address"):
+        writers.write_csv(frame([(text,)], "address STRING"), str(tmp_path / "out"))
 
 
 def test_header_must_match_the_schema(spark, tmp_path):
@@ -62,7 +96,7 @@ def test_written_tables_read_back(spark, grid, tmp_path, fmt):
     write = writers.write_csv if fmt == "csv" else writers.write_parquet
     write(grid.districts, path)
     write(grid.districts, path)
-    assert values(readers.read_districts(spark, path, fmt)) == values(grid.districts)
+    assert values(readers.read_table(spark, "districts", path, fmt)) == values(grid.districts)
 
 
 def test_single_file_keeps_the_order(spark, tmp_path):
@@ -85,22 +119,32 @@ def test_broadcast_guard(spark):
     assert hint not in analyzed(broadcast_within(large, 10))
 
 
-def test_scratch_folder_follows_the_session(spark, monkeypatch):
+def test_scratch_folder_follows_the_session(spark):
     root = spark.conf.get(storage.CHECKPOINT_DIR)
     first, second = storage.scratch_dir(spark), storage.scratch_dir(spark)
     assert first.startswith(root) and first != second
 
-    class Conf:
-        def __init__(self, master):
-            self.settings = {"spark.master": master}
-
-        def get(self, key, default=None):
-            return self.settings.get(key, default)
-
     class Session:
-        def __init__(self, master):
-            self.conf = Conf(master)
+        conf = {}
 
-    assert Path(storage.scratch_dir(Session("local[2]"))).parent.is_dir()
     with pytest.raises(ValueError, match=storage.CHECKPOINT_DIR):
-        storage.scratch_dir(Session("yarn"))
+        storage.scratch_dir(Session())
+
+
+def test_scratch_folders_are_deleted_and_never_overwritten(spark):
+    with storage.scratch(spark) as folder:
+        storage.written(spark.range(3), f"{folder}/table")
+        local = Path(folder.removeprefix("file:"))
+        assert local.is_dir()
+        with pytest.raises(Exception, match="(?i)exists"):
+            storage.written(spark.range(3), f"{folder}/table")
+    assert not local.exists()
+
+
+def test_concurrent_actions_keep_the_job_group(spark):
+    spark.sparkContext.setLocalProperty("spark.job.description", "mine")
+    try:
+        found = storage.concurrently(spark, [lambda: spark.sparkContext.getLocalProperty("spark.job.description")] * 3)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.job.description", None)
+    assert found == ["mine"] * 3

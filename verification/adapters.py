@@ -50,7 +50,7 @@ def _plant_columns(plant: Column) -> dict[str, Column]:
         "plant_id": _text("P", plant),
         "plant_type": _pick(kind, ["nuclear", "coal", "gas", "hydro", "wind", "solar"], "geothermal"),
         "district_id": _text("D00", plant % 10),
-        "capacity_mw": F.when(kind == 6, F.lit(0.0)).otherwise((25 + plant).cast("double") / F.lit(100.0)),
+        "capacity_mw": F.when(kind == 6, F.lit(0.0)).otherwise((25 + plant).cast("double")),
     }
 
 
@@ -91,16 +91,20 @@ class GridTables:
 
     @cached_property
     def weather(self) -> DataFrame:
-        """One row per hour of the plant output, none on every 7th day of the month."""
+        """The hours of the meter readings, those of every 11th day of the month twice.
+
+        Plants also report at other hours, which have no weather. Some cloud factors are missing.
+        """
         ts = F.col("timestamp")
-        hours = self.plant_output.select("timestamp").where(F.day(ts) % 7 != 0).distinct()
+        hours = self.meter_readings.select("timestamp").distinct()
+        hours = hours.withColumn("copy", F.explode(F.sequence(F.lit(0), F.when(F.day(ts) % 11 == 0, 1).otherwise(0))))
         cloud, wind, rain = F.day(ts) % 5, F.hour(ts) % 5, F.month(ts) % 5
         return hours.select(
             "timestamp",
             _pick(cloud, ["clear", "partly_cloudy", "cloudy", "overcast"], "rainy").alias("cloud_condition"),
             _pick(wind, ["calm", "light", "moderate", "strong"], "extreme").alias("wind_condition"),
             _pick(rain, ["drought", "low", "normal", "high"], "flood").alias("precipitation_condition"),
-            _pick_number(cloud, {0: 1.0, 1: 0.7, 2: 0.3, 3: 0.1}, 0.05).alias("cloud_factor"),
+            F.when(F.hour(ts) % 7 != 3, _pick_number(cloud, {0: 1.0, 1: 0.7, 2: 0.3, 3: 0.1}, 0.05)).alias("cloud_factor"),
             _pick_number(wind, {1: 0.3, 2: 0.7, 3: 1.0}, 0.0).alias("wind_factor"),
             _pick_number(rain, {0: 0.4, 1: 0.7, 2: 1.0, 3: 1.1}, 0.8).alias("precipitation_factor"),
             (20 + F.hour(ts)).cast("double").alias("temperature_c"),
@@ -110,15 +114,16 @@ class GridTables:
 
     @cached_property
     def plants(self) -> DataFrame:
-        numbers = self._parquet("orders").select((F.col("o_custkey") % 50).alias("plant")).distinct()
+        numbers = self._parquet("customer").select((F.col("c_custkey") % 50).alias("plant")).distinct()
         unit_cost = _pick_number(F.col("plant_type"), C.OPERATING_COSTS, 20)
-        return numbers.select(*_named(_plant_columns(F.col("plant")))).select(
+        efficiency = (80 + 2 * (F.col("plant") % 10)).cast("double") / F.lit(100.0)
+        return numbers.select(*_named(_plant_columns(F.col("plant"))), efficiency.alias("efficiency")).select(
             "plant_id",
             _text(F.col("plant_id"), " ", F.col("plant_type")).alias("plant_name"),
             "plant_type",
             "district_id",
             "capacity_mw",
-            F.lit(0.9).alias("efficiency"),
+            "efficiency",
             unit_cost.alias("operating_cost"),
             F.lit(40.0).alias("latitude"),
             F.lit(-100.0).alias("longitude"),
@@ -126,9 +131,9 @@ class GridTables:
 
     @cached_property
     def meters(self) -> DataFrame:
-        parts = self._parquet("lineitem").select("l_partkey").distinct()
+        parts = self._parquet("part")
         base = _pick_number(F.col("meter_type"), {"residential": 1.5, "commercial": 5.0}, 25.0)
-        return parts.select(*_named(_meter_columns(F.col("l_partkey")))).select(
+        return parts.select(*_named(_meter_columns(F.col("p_partkey")))).select(
             "meter_id",
             "district_id",
             "meter_type",
@@ -166,7 +171,10 @@ class GridTables:
 
     @cached_property
     def plant_hours(self) -> DataFrame:
-        """Every recorded plant-hour with its plant's efficiency and cost per MWh."""
-        plant = self._small_side("plants", self.plants.select("plant_id", "efficiency", "operating_cost"))
+        """Every recorded plant-hour with its plant's efficiency and cost per MWh.
+
+        The plants are the remainders by 50 of a key, which bounds their broadcast.
+        """
+        plant = F.broadcast(self.plants.select("plant_id", "efficiency", "operating_cost"))
         recorded = self.plant_output.select("timestamp", "plant_id", "plant_type", "district_id", "capacity_mw")
         return recorded.join(plant, "plant_id")

@@ -19,22 +19,26 @@ plant_output AS (
               WHEN 4 THEN 'wind' WHEN 5 THEN 'solar' ELSE 'geothermal' END AS plant_type,
          'D00' || (o_custkey % 10) AS district_id,
          CASE WHEN (o_custkey % 50) % 7 = 6 THEN CAST(0 AS DOUBLE)
-              ELSE CAST(25 + o_custkey % 50 AS DOUBLE) / CAST(100 AS DOUBLE) END AS capacity_mw,
+              ELSE CAST(25 + o_custkey % 50 AS DOUBLE) END AS capacity_mw,
          o_totalprice / CAST(2500000 AS DOUBLE)
            * (CAST(75 + 9 * (o_custkey % 10) AS DOUBLE) / CAST(100 AS DOUBLE)) AS output_mw,
          CAST(0.5 AS DOUBLE) AS availability,
          o_totalprice / CAST(62500 AS DOUBLE) AS operating_cost
   FROM orders),
+hours AS (
+  SELECT "timestamp" FROM (SELECT DISTINCT "timestamp" FROM meter_readings)
+  UNION ALL SELECT DISTINCT "timestamp" FROM meter_readings WHERE day("timestamp") % 11 = 0),
 weather AS (
-  SELECT DISTINCT "timestamp",
+  SELECT "timestamp",
          CASE day("timestamp") % 5 WHEN 0 THEN 'clear' WHEN 1 THEN 'partly_cloudy' WHEN 2 THEN 'cloudy'
               WHEN 3 THEN 'overcast' ELSE 'rainy' END AS cloud_condition,
          CASE hour("timestamp") % 5 WHEN 0 THEN 'calm' WHEN 1 THEN 'light' WHEN 2 THEN 'moderate'
               WHEN 3 THEN 'strong' ELSE 'extreme' END AS wind_condition,
          CASE month("timestamp") % 5 WHEN 0 THEN 'drought' WHEN 1 THEN 'low' WHEN 2 THEN 'normal'
               WHEN 3 THEN 'high' ELSE 'flood' END AS precipitation_condition,
-         CAST(CASE day("timestamp") % 5 WHEN 0 THEN 1.0 WHEN 1 THEN 0.7 WHEN 2 THEN 0.3 WHEN 3 THEN 0.1
-              ELSE 0.05 END AS DOUBLE) AS cloud_factor,
+         CAST(CASE WHEN hour("timestamp") % 7 = 3 THEN NULL
+              ELSE CASE day("timestamp") % 5 WHEN 0 THEN 1.0 WHEN 1 THEN 0.7 WHEN 2 THEN 0.3 WHEN 3 THEN 0.1
+              ELSE 0.05 END END AS DOUBLE) AS cloud_factor,
          CAST(CASE hour("timestamp") % 5 WHEN 1 THEN 0.3 WHEN 2 THEN 0.7 WHEN 3 THEN 1.0 ELSE 0.0 END AS DOUBLE)
            AS wind_factor,
          CAST(CASE month("timestamp") % 5 WHEN 0 THEN 0.4 WHEN 1 THEN 0.7 WHEN 2 THEN 1.0 WHEN 3 THEN 1.1
@@ -42,20 +46,24 @@ weather AS (
          CAST(20 + hour("timestamp") AS DOUBLE) AS temperature_c,
          CAST(day("timestamp") AS DOUBLE) AS wind_speed_ms,
          CAST(50 + day("timestamp") AS DOUBLE) AS humidity_pct
-  FROM plant_output WHERE day("timestamp") % 7 <> 0),
+  FROM hours),
 plants AS (
-  SELECT DISTINCT plant_id, plant_id || ' ' || plant_type AS plant_name, plant_type, district_id, capacity_mw,
-         CAST(0.9 AS DOUBLE) AS efficiency,
+  SELECT 'P' || n AS plant_id, 'P' || n || ' ' || plant_type AS plant_name, plant_type, 'D00' || (n % 10) AS district_id,
+         CASE WHEN n % 7 = 6 THEN CAST(0 AS DOUBLE) ELSE CAST(25 + n AS DOUBLE) END AS capacity_mw,
+         CAST(80 + 2 * (n % 10) AS DOUBLE) / CAST(100 AS DOUBLE) AS efficiency,
          CAST(CASE plant_type WHEN 'nuclear' THEN 30 WHEN 'coal' THEN 40 WHEN 'gas' THEN 50 WHEN 'hydro' THEN 10
-              WHEN 'wind' THEN 5 WHEN 'solar' THEN 3 ELSE 20 END AS DOUBLE) AS operating_cost,
+                   WHEN 'wind' THEN 5 WHEN 'solar' THEN 3 ELSE 20 END AS DOUBLE) AS operating_cost,
          CAST(40 AS DOUBLE) AS latitude, CAST(-100 AS DOUBLE) AS longitude
-  FROM plant_output),
+  FROM (SELECT n, CASE n % 7 WHEN 0 THEN 'nuclear' WHEN 1 THEN 'coal' WHEN 2 THEN 'gas' WHEN 3 THEN 'hydro'
+                  WHEN 4 THEN 'wind' WHEN 5 THEN 'solar' ELSE 'geothermal' END AS plant_type
+        FROM (SELECT DISTINCT c_custkey % 50 AS n FROM customer))),
 meters AS (
-  SELECT DISTINCT meter_id, district_id, meter_type,
-         CAST(CASE meter_type WHEN 'residential' THEN 1.5 WHEN 'commercial' THEN 5.0 ELSE 25.0 END AS DOUBLE)
-           AS base_consumption,
-         FALSE AS is_fraud, meter_id || ' street' AS address
-  FROM meter_readings),
+  SELECT 'M' || p_partkey AS meter_id,
+         CASE WHEN p_partkey % 100 = 99 THEN 'D010' ELSE 'D00' || (p_partkey % 10) END AS district_id,
+         CASE p_partkey % 3 WHEN 0 THEN 'residential' WHEN 1 THEN 'commercial' ELSE 'industrial' END AS meter_type,
+         CAST(CASE p_partkey % 3 WHEN 0 THEN 1.5 WHEN 1 THEN 5.0 ELSE 25.0 END AS DOUBLE) AS base_consumption,
+         FALSE AS is_fraud, 'M' || p_partkey || ' street' AS address
+  FROM part),
 districts AS (
   SELECT district_id, 'City ' || district_id AS district_name,
          CASE CAST(substr(district_id, 2) AS INTEGER) % 4 WHEN 0 THEN 'industrial' WHEN 1 THEN 'commercial'
@@ -158,6 +166,7 @@ expected AS (
          END AS mw
   FROM available a JOIN plants p USING (plant_id))"""
 
+# fixed values: load by hour of day, and the factor of weekends
 LOAD_SHAPES = """
 shapes AS (
   SELECT * FROM (VALUES
@@ -171,16 +180,11 @@ shapes AS (
 
 LOAD = """by_hour[hour("timestamp") + 1] * CASE WHEN isodow("timestamp") >= 6 THEN weekend ELSE CAST(1 AS DOUBLE) END"""
 
-SPINE = """
-spine AS (
-  SELECT unnest(generate_series(TIMESTAMP '2024-06-01 00:00:00', TIMESTAMP '2024-06-03 23:00:00', INTERVAL 1 HOUR))
-    AS "timestamp")"""
-
-BALANCE_COLUMNS = """district_id, round(demand_mwh, 6) AS demand_mwh, round(supply_mw, 6) AS supply_mw,
-  round(net_load_mw, 6) AS net_load_mw, round(balance_ratio, 6) AS balance_ratio, status"""
-ZSCORE_COLUMNS = """meter_id, district_id, round(total_kwh, 6) AS total_kwh, round(district_mean, 6) AS district_mean,
-  round(district_stddev, 6) AS district_stddev, round(zscore, 6) AS zscore, status, fraud_type"""
-STATS_COLUMNS = """district_id, round(mean_kwh, 6) AS mean_kwh, round(stddev_kwh, 6) AS stddev_kwh, meter_count,
+BALANCE_COLUMNS = """district_id, round_even(demand_mwh, 6) AS demand_mwh, round_even(supply_mw, 6) AS supply_mw,
+  round_even(net_load_mw, 6) AS net_load_mw, round_even(balance_ratio, 6) AS balance_ratio, status"""
+ZSCORE_COLUMNS = """meter_id, district_id, round_even(total_kwh, 6) AS total_kwh, round_even(district_mean, 6) AS district_mean,
+  round_even(district_stddev, 6) AS district_stddev, round_even(zscore, 6) AS zscore, status, fraud_type"""
+STATS_COLUMNS = """district_id, round_even(mean_kwh, 6) AS mean_kwh, round_even(stddev_kwh, 6) AS stddev_kwh, meter_count,
   valid_stats"""
 RISK = """
 risk AS (
@@ -189,7 +193,7 @@ risk AS (
          count(*) FILTER (status = 'EXCESS') AS n_excess,
          coalesce(string_agg(district_id, ', ' ORDER BY district_id) FILTER (status = 'CRITICAL'), '')
            AS critical_districts,
-         round(coalesce(sum(net_load_mw) FILTER (net_load_mw < 0), CAST(0 AS DOUBLE)), 6) AS total_deficit_mw,
+         round_even(coalesce(sum(net_load_mw) FILTER (net_load_mw < 0), CAST(0 AS DOUBLE)), 6) AS total_deficit_mw,
          count(*) FILTER (status = 'CRITICAL') AS districts_at_risk
   FROM balance)"""
 
@@ -199,7 +203,7 @@ def _sql(select: str, *ctes: str) -> str:
 
 
 def _sum_by(source: str, keys: str, value: str, name: str, *ctes: str) -> str:
-    return _sql(f"SELECT {keys}, round(sum({value}), 6) AS {name} FROM {source} GROUP BY ALL", *ctes)
+    return _sql(f"SELECT {keys}, round_even(sum({value}), 6) AS {name} FROM {source} GROUP BY ALL", *ctes)
 
 
 HOUR = 'CAST(hour("timestamp") AS INTEGER) AS hour'
@@ -236,7 +240,7 @@ ORACLES: dict[str, str] = {
     "demand_by_district_hour": _sum_by("meter_readings", f"district_id, {HOUR}", "kwh", "total_demand_kwh"),
     "demand_by_meter_type": _sum_by("meter_readings", "meter_type", "kwh", "total_demand_kwh"),
     "peak_demand_districts": _sql(
-        """SELECT district_id, round(sum(kwh), 6) AS total_demand_kwh FROM meter_readings GROUP BY district_id
+        """SELECT district_id, round_even(sum(kwh), 6) AS total_demand_kwh FROM meter_readings GROUP BY district_id
            ORDER BY sum(kwh) DESC, district_id LIMIT 5"""
     ),
     # supply
@@ -246,8 +250,8 @@ ORACLES: dict[str, str] = {
     "supply_by_plant_type": _sum_by("enriched", "plant_type", "output_mw", "total_supply_mw", ENRICHED),
     "supply_by_district_hour": _sum_by("enriched", f"district_id, {HOUR}", "output_mw", "total_supply_mw", ENRICHED),
     "capacity_utilization": _sql(
-        """SELECT plant_type, round(sum(output_mw), 6) AS total_output_mw, round(sum(capacity_mw), 6) AS total_capacity_mw,
-                  round(CASE WHEN sum(capacity_mw) > 0 THEN sum(output_mw) / sum(capacity_mw) ELSE CAST(0 AS DOUBLE) END,
+        """SELECT plant_type, round_even(sum(output_mw), 6) AS total_output_mw, round_even(sum(capacity_mw), 6) AS total_capacity_mw,
+                  round_even(CASE WHEN sum(capacity_mw) > 0 THEN sum(output_mw) / sum(capacity_mw) ELSE CAST(0 AS DOUBLE) END,
                         6) AS utilization_rate
            FROM enriched GROUP BY plant_type""",
         ENRICHED,
@@ -256,8 +260,8 @@ ORACLES: dict[str, str] = {
     # balance
     "grid_balance": _sql(f"SELECT {BALANCE_COLUMNS} FROM balance", BALANCE),
     "grid_balance_hourly": _sql(
-        """SELECT district_id, hour, round(demand_mwh, 6) AS demand_mwh, round(supply_mw, 6) AS supply_mw,
-                  round(supply_mw - demand_mwh, 6) AS net_load_mw, round(ratio, 6) AS balance_ratio,
+        """SELECT district_id, hour, round_even(demand_mwh, 6) AS demand_mwh, round_even(supply_mw, 6) AS supply_mw,
+                  round_even(supply_mw - demand_mwh, 6) AS net_load_mw, round_even(ratio, 6) AS balance_ratio,
                   CASE WHEN ratio < -0.15 THEN 'CRITICAL' WHEN ratio < -0.05 THEN 'WARNING' ELSE 'OK' END AS status
            FROM hourly""",
         ENRICHED,
@@ -274,7 +278,7 @@ hourly AS (
     "balance_status_counts": _sql("SELECT status, count(*) AS count FROM balance GROUP BY status", BALANCE),
     "blackout_risk_summary": _sql("SELECT * FROM risk", BALANCE, RISK),
     # fraud
-    "meter_totals": _sql("SELECT meter_id, district_id, round(total_kwh, 6) AS total_kwh FROM totals", STATS),
+    "meter_totals": _sql("SELECT meter_id, district_id, round_even(total_kwh, 6) AS total_kwh FROM totals", STATS),
     "district_stats": _sql(f"SELECT {STATS_COLUMNS} FROM stats", STATS),
     "valid_district_stats": _sql(f"SELECT {STATS_COLUMNS} FROM stats WHERE valid_stats", STATS),
     "meter_zscores": _sql(f"SELECT {ZSCORE_COLUMNS} FROM zscores", ZSCORES),
@@ -286,11 +290,11 @@ hourly AS (
     ),
     "fraud_impact": _sql(
         """SELECT total_fraud_cases, total_meters_analyzed,
-                  round(CASE WHEN total_meters_analyzed > 0
+                  round_even(CASE WHEN total_meters_analyzed > 0
                         THEN CAST(total_fraud_cases AS DOUBLE) / total_meters_analyzed * 100
                         ELSE CAST(0 AS DOUBLE) END, 6) AS fraud_rate_pct,
-                  round(stolen, 6) AS estimated_stolen_kwh,
-                  round(stolen * CAST(0.12 AS DOUBLE), 6) AS estimated_revenue_loss
+                  round_even(stolen, 6) AS estimated_stolen_kwh,
+                  round_even(stolen * CAST(0.12 AS DOUBLE), 6) AS estimated_revenue_loss
            FROM impact""",
         ZSCORES,
         """
@@ -317,25 +321,25 @@ factors AS (
     "emissions_by_district": _sum_by("emissions", "district_id", "co2_tons", "total_co2_tons", EMISSIONS),
     "emissions_by_hour": _sum_by("emissions", "hour", "co2_tons", "total_co2_tons", EMISSIONS),
     "renewable_share": _sql(
-        """SELECT round(renewable_mw, 6) AS renewable_mw, round(non_renewable_mw, 6) AS non_renewable_mw,
-                  round(total_mw, 6) AS total_mw, round(renewable_percentage, 6) AS renewable_percentage,
+        """SELECT round_even(renewable_mw, 6) AS renewable_mw, round_even(non_renewable_mw, 6) AS non_renewable_mw,
+                  round_even(total_mw, 6) AS total_mw, round_even(renewable_percentage, 6) AS renewable_percentage,
                   renewable_percentage >= 40 AS meets_target, renewable_percentage >= 20 AS meets_minimum
            FROM share""",
         RENEWABLE,
     ),
     "emission_intensity": _sql(
-        """SELECT round(CASE WHEN (SELECT sum(output_mw) FROM enriched) > 0
+        """SELECT round_even(CASE WHEN (SELECT sum(output_mw) FROM enriched) > 0
                         THEN (SELECT sum(co2_tons) FROM emissions) / (SELECT sum(output_mw) FROM enriched)
                         ELSE CAST(0 AS DOUBLE) END, 6) AS emission_intensity""",
         ENRICHED,
         EMISSIONS,
     ),
     "carbon_summary": _sql(
-        """SELECT round(tons, 6) AS total_emissions_tons, round(intensity, 6) AS emission_intensity,
+        """SELECT round_even(tons, 6) AS total_emissions_tons, round_even(intensity, 6) AS emission_intensity,
                   CASE WHEN intensity >= 0.8 THEN 'CRITICAL' WHEN intensity >= 0.5 THEN 'WARNING'
                        WHEN intensity <= 0.2 THEN 'GREEN' ELSE 'OK' END AS emission_status,
-                  round(renewable_mw, 6) AS renewable_mw, round(non_renewable_mw, 6) AS non_renewable_mw,
-                  round(total_mw, 6) AS total_mw, round(renewable_percentage, 6) AS renewable_percentage,
+                  round_even(renewable_mw, 6) AS renewable_mw, round_even(non_renewable_mw, 6) AS non_renewable_mw,
+                  round_even(total_mw, 6) AS total_mw, round_even(renewable_percentage, 6) AS renewable_percentage,
                   renewable_percentage >= 40 AS meets_target, renewable_percentage >= 20 AS meets_minimum
            FROM (SELECT tons, CASE WHEN mw > 0 THEN tons / mw ELSE CAST(0 AS DOUBLE) END AS intensity
                  FROM (SELECT (SELECT sum(co2_tons) FROM emissions) AS tons,
@@ -347,19 +351,19 @@ factors AS (
     # report frames
     "chart_demand_share": _sql(
         """SELECT upper(substr(meter_type, 1, 1)) || substr(meter_type, 2) AS meter_type,
-                  round(sum(kwh), 6) AS total_demand_kwh,
-                  round(100 * sum(kwh) / (SELECT sum(kwh) FROM meter_readings), 6) AS pct
+                  round_even(sum(kwh), 6) AS total_demand_kwh,
+                  round_even(100 * sum(kwh) / (SELECT sum(kwh) FROM meter_readings), 6) AS pct
            FROM meter_readings GROUP BY ALL"""
     ),
     "chart_utilization": _sql(
-        """SELECT plant_type, round(CASE WHEN sum(capacity_mw) > 0 THEN sum(output_mw) / sum(capacity_mw) * 100
+        """SELECT plant_type, round_even(CASE WHEN sum(capacity_mw) > 0 THEN sum(output_mw) / sum(capacity_mw) * 100
                                     ELSE CAST(0 AS DOUBLE) END, 6) AS utilization_pct
            FROM enriched GROUP BY plant_type""",
         ENRICHED,
     ),
-    "chart_grid_balance": _sql("SELECT district_id, round(net_load_mw, 6) AS net_load_mw, status FROM balance", BALANCE),
+    "chart_grid_balance": _sql("SELECT district_id, round_even(net_load_mw, 6) AS net_load_mw, status FROM balance", BALANCE),
     "zscore_histogram": _sql(
-        """SELECT CAST(i AS INTEGER) AS bin, round(edge_lo, 6) AS bin_lo, round(edge_hi, 6) AS bin_hi,
+        """SELECT CAST(i AS INTEGER) AS bin, round_even(edge_lo, 6) AS bin_lo, round_even(edge_hi, 6) AS bin_hi,
                   (SELECT count(*) FROM clipped
                    WHERE z >= edge_lo AND (z < edge_hi OR (i = 49 AND z <= edge_hi))) AS count
            FROM edges""",
@@ -377,30 +381,30 @@ edges AS (
   FROM range(50) AS r(i), ends)""",
     ),
     "chart_emission_share": _sql(
-        """SELECT plant_type, round(tons, 6) AS total_co2_tons, round(100 * tons / sum(tons) OVER (), 6) AS pct
+        """SELECT plant_type, round_even(tons, 6) AS total_co2_tons, round_even(100 * tons / sum(tons) OVER (), 6) AS pct
            FROM (SELECT plant_type, sum(co2_tons) AS tons FROM emissions GROUP BY plant_type) WHERE tons > 0""",
         EMISSIONS,
     ),
     "chart_renewable_mix": _sql(
-        """SELECT source, round(mw, 6) AS mw,
-                  round(CASE WHEN total_mw > 0 THEN 100 * mw / total_mw ELSE CAST(0 AS DOUBLE) END, 6) AS pct
+        """SELECT source, round_even(mw, 6) AS mw,
+                  round_even(CASE WHEN total_mw > 0 THEN 100 * mw / total_mw ELSE CAST(0 AS DOUBLE) END, 6) AS pct
            FROM (SELECT 'Renewable' AS source, renewable_mw AS mw, total_mw FROM share
                  UNION ALL SELECT 'Non-Renewable', non_renewable_mw, total_mw FROM share)""",
         RENEWABLE,
     ),
     "dash_demand_summary": _sql(
-        """SELECT 'Total Demand' AS metric, round(sum(kwh), 6) AS value FROM meter_readings
+        """SELECT 'Total Demand' AS metric, round_even(sum(kwh), 6) AS value FROM meter_readings
            UNION ALL SELECT 'Districts Monitored', CAST(count(DISTINCT district_id) AS DOUBLE) FROM meter_readings
-           UNION ALL SELECT upper(substr(meter_type, 1, 1)) || substr(meter_type, 2), round(sum(kwh), 6)
+           UNION ALL SELECT upper(substr(meter_type, 1, 1)) || substr(meter_type, 2), round_even(sum(kwh), 6)
                      FROM meter_readings GROUP BY meter_type"""
     ),
     "dash_supply_summary": _sql(
         """SELECT upper(substr(plant_type, 1, 1)) || substr(plant_type, 2) AS plant_type,
-                  round(sum(output_mw), 6) AS total_output_mw,
-                  round(CASE WHEN sum(capacity_mw) > 0 THEN sum(output_mw) / sum(capacity_mw) ELSE CAST(0 AS DOUBLE) END,
+                  round_even(sum(output_mw), 6) AS total_output_mw,
+                  round_even(CASE WHEN sum(capacity_mw) > 0 THEN sum(output_mw) / sum(capacity_mw) ELSE CAST(0 AS DOUBLE) END,
                         6) AS utilization_rate
            FROM enriched GROUP BY 1
-           UNION ALL SELECT 'Total', round(sum(output_mw), 6), CAST(NULL AS DOUBLE) FROM enriched""",
+           UNION ALL SELECT 'Total', round_even(sum(output_mw), 6), CAST(NULL AS DOUBLE) FROM enriched""",
         ENRICHED,
     ),
     "dash_grid_alerts": _sql(
@@ -409,7 +413,18 @@ edges AS (
         RISK,
     ),
     # weather, availability and load
-    "hourly_spine": _sql('SELECT "timestamp", plant_id AS id FROM spine, plants', SPINE),
+    "hourly_spine": _sql(
+        """SELECT plant_id AS id, unnest(generate_series(first_hour, first_hour + to_hours(71), INTERVAL 1 HOUR))
+                  AS "timestamp"
+           FROM (SELECT plant_id, min("timestamp") AS first_hour FROM plant_output GROUP BY plant_id)"""
+    ),
+    "reporting_gaps": _sql(
+        """SELECT plant_id AS id, before AS last_hour, "timestamp" AS next_hour,
+                  CAST(date_diff('hour', before, "timestamp") - 1 AS BIGINT) AS missing_hours
+           FROM (SELECT plant_id, "timestamp", lag("timestamp") OVER (PARTITION BY plant_id ORDER BY "timestamp") AS before
+                 FROM (SELECT DISTINCT plant_id, "timestamp" FROM plant_output))
+           WHERE date_diff('hour', before, "timestamp") > 1"""
+    ),
     "weather_factors": _sql(
         """SELECT "timestamp",
                   CAST(CASE cloud_condition WHEN 'clear' THEN 1.0 WHEN 'partly_cloudy' THEN 0.7 WHEN 'cloudy' THEN 0.3
@@ -431,32 +446,32 @@ edges AS (
            FROM weather"""
     ),
     "plant_availability": _sql(
-        """SELECT "timestamp", plant_id, plant_type, district_id, round(capacity_mw, 6) AS capacity_mw,
-                  round(availability, 6) AS availability
+        """SELECT "timestamp", plant_id, plant_type, district_id, round_even(capacity_mw, 6) AS capacity_mw,
+                  round_even(availability, 6) AS availability
            FROM available""",
         AVAILABILITY,
     ),
     "expected_output": _sql(
-        """SELECT "timestamp", plant_id, plant_type, district_id, capacity_mw, round(availability, 3) AS availability,
-                  round(mw, 2) AS output_mw, round(mw * unit_cost, 2) AS operating_cost
+        """SELECT "timestamp", plant_id, plant_type, district_id, capacity_mw, round_even(availability, 3) AS availability,
+                  round_even(mw, 2) AS output_mw, round_even(mw * unit_cost, 2) AS operating_cost
            FROM expected""",
         EXPECTED,
     ),
-    "weather_adjusted_supply": _sum_by("expected", "district_id", "round(mw, 2)", "total_supply_mw", EXPECTED),
+    "weather_adjusted_supply": _sum_by("expected", "district_id", "round_even(mw, 2)", "total_supply_mw", EXPECTED),
     "load_factor": _sql(
         f'SELECT "timestamp", meter_type, {LOAD} AS load_factor FROM meter_readings JOIN shapes USING (meter_type)',
         LOAD_SHAPES,
     ),
     "expected_consumption": _sql(
-        f"""SELECT "timestamp", meter_id,
-                   round(greatest(CAST(0.01 AS DOUBLE), base_consumption * ({LOAD})), 4) AS expected_kwh
-            FROM meters JOIN shapes USING (meter_type), spine""",
+        f"""SELECT "timestamp", meter_id, kwh,
+                   round_even(greatest(CAST(0.01 AS DOUBLE), base_consumption * ({LOAD})), 4) AS expected_kwh
+            FROM meter_readings JOIN (SELECT meter_id, base_consumption FROM meters) USING (meter_id)
+                 JOIN shapes USING (meter_type)""",
         LOAD_SHAPES,
-        SPINE,
     ),
     "weather_condition_distribution": _sql(
         """SELECT kind, condition, count(w."timestamp") AS hours,
-                  round(100 * CAST(count(w."timestamp") AS DOUBLE) / (SELECT count(*) FROM weather), 6) AS pct
+                  round_even(100 * CAST(count(w."timestamp") AS DOUBLE) / (SELECT count(*) FROM weather), 6) AS pct
            FROM (VALUES ('cloud', 'clear'), ('cloud', 'partly_cloudy'), ('cloud', 'cloudy'), ('cloud', 'overcast'),
                         ('cloud', 'rainy'), ('wind', 'calm'), ('wind', 'light'), ('wind', 'moderate'),
                         ('wind', 'strong'), ('wind', 'extreme')) AS known(kind, condition)
@@ -464,9 +479,18 @@ edges AS (
            GROUP BY kind, condition"""
     ),
     "plant_summary_by_type": _sql(
-        """SELECT plant_type, count(*) AS count, round(sum(capacity_mw), 6) AS total_capacity
+        """SELECT plant_type, count(*) AS count, round_even(sum(capacity_mw), 6) AS total_capacity
            FROM plants GROUP BY plant_type"""
     ),
+    "generation_by_class": _sql(
+        """SELECT CASE WHEN plant_type IN ('solar', 'wind', 'hydro') THEN 'renewable' ELSE 'non_renewable' END
+                    AS energy_class, round_even(sum(output_mw), 6) AS total_output_mw
+           FROM plant_output GROUP BY 1"""
+    ),
+    "malformed_row_counts": _sql(
+        """SELECT 'meter_readings' AS table_name, count(*) AS row_count, count(*) FILTER (l_partkey % 10 = 3)
+                    AS malformed_rows FROM lineitem"""
+    ),
     # everything
     "full_run_row_counts": _sql(
         """SELECT 'total_demand' AS table_name, count(DISTINCT district_id) AS row_count FROM meter_readings
@@ -491,3 +515,33 @@ edges AS (
         ZSCORES,
     ),
 }
+
+# rankings: the same rows as what they order
+ORACLES |= {
+    "chart_demand_ranking": ORACLES["demand_by_district"],
+    "chart_supply_ranking": ORACLES["supply_by_plant_type"],
+    "chart_emission_profile": ORACLES["emissions_by_hour"],
+}
+# the saved results of a full run, and its summaries
+FULL_RUN = {
+    "total_demand": "demand_by_district",
+    "hourly_demand": "demand_by_district_hour",
+    "type_demand": "demand_by_meter_type",
+    "total_supply": "supply_by_district",
+    "type_supply": "supply_by_plant_type",
+    "hourly_supply": "supply_by_district_hour",
+    "utilization": "capacity_utilization",
+    "costs": "operating_costs",
+    "grid_balance": "grid_balance",
+    "hourly_balance": "grid_balance_hourly",
+    "district_stats": "district_stats",
+    "meter_zscores": "meter_zscores",
+    "fraud_cases": "fraud_cases",
+    "emissions_by_type": "emissions_by_type",
+    "emissions_by_district": "emissions_by_district",
+    "emissions_hourly": "emissions_by_hour",
+    "blackout_risk": "blackout_risk_summary",
+    "fraud_impact": "fraud_impact",
+    "carbon_summary": "carbon_summary",
+}
+ORACLES |= {f"full_run_{name}": ORACLES[query] for name, query in FULL_RUN.items()}

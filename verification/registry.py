@@ -13,15 +13,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from verification.adapters import GridTables
-from wattledger.functions.common import round_half_up
+from wattledger.functions.common import round_half_even
 from wattledger.operators import balance, carbon, demand, fraud, reports, supply, weather
-from wattledger.plans.full_run import OUTPUTS, run_all
+from wattledger.plans.full_run import OUTPUTS, read_saved, run_all
+from wattledger.plans.scoring import meter_scores
 from wattledger.plans.storage import scratch_dir, written
 from wattledger.schemas import TABLES
 from wattledger.sources import readers, writers
 
-SPINE_START = "2024-06-01 00:00:00"
-
 QUERIES: dict[str, Callable[[GridTables], DataFrame]] = {}
 
 
@@ -32,7 +31,7 @@ def query(build: Callable[[GridTables], DataFrame]) -> Callable[[GridTables], Da
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
-    return df.withColumns({name: round_half_up(F.col(name), digits) for name in doubles})
+    return df.withColumns({name: round_half_even(F.col(name), digits) for name in doubles})
 
 
 def _csv_round_trip(g: GridTables, table: str) -> DataFrame:
@@ -98,7 +97,7 @@ def sink_csv_roundtrip(g):
     path = f"{scratch_dir(g.spark)}/hourly_demand"
     hourly = demand.demand_by_district_hour(g.meter_readings).orderBy("district_id", "hour")
     writers.write_csv(hourly, path, single_file=True)
-    return g.spark.read.schema(hourly.schema).option("header", True).option("enforceSchema", False).csv(path)
+    return readers.read_csv(g.spark, path, hourly.schema)
 
 
 @query
@@ -109,6 +108,17 @@ def sink_parquet_roundtrip(g):
     return g.spark.read.schema(hourly.schema).parquet(path)
 
 
+@query
+def malformed_row_counts(g):
+    """Readings of which every tenth meter's energy is not a number."""
+    damaged = F.when(F.col("meter_id").rlike("3$"), F.lit("much")).otherwise(F.col("kwh").cast("string"))
+    path = f"{scratch_dir(g.spark)}/damaged.csv"
+    writers.write_csv(g.meter_readings.withColumn("kwh", damaged), path)
+    return readers.malformed_row_counts(
+        {"meter_readings": readers.read_table(g.spark, "meter_readings", path, on_bad_rows="keep")}
+    )
+
+
 @query
 def row_counts(g):
     return readers.row_counts({table: getattr(g, table) for table in TABLES})
@@ -232,7 +242,7 @@ def _totals_and_stats(g: GridTables) -> tuple[DataFrame, DataFrame]:
 
 
 def _zscores(g: GridTables) -> DataFrame:
-    return fraud.meter_zscores(*_totals_and_stats(g))
+    return meter_scores(fraud.meter_district_sums(g.meter_readings), scratch_dir(g.spark))[1]
 
 
 @query
@@ -308,6 +318,11 @@ def renewable_share(g):
     return rounded(carbon.renewable_share(g.plant_output))
 
 
+@query
+def generation_by_class(g):
+    return rounded(carbon.generation_by_class(g.plant_output))
+
+
 @query
 def emission_intensity(g):
     return rounded(
@@ -325,6 +340,21 @@ def carbon_summary(g):
 # report frames
 
 
+@query
+def chart_demand_ranking(g):
+    return rounded(reports.demand_ranking(demand.demand_by_district(g.meter_readings)))
+
+
+@query
+def chart_supply_ranking(g):
+    return rounded(reports.supply_ranking(supply.supply_by_plant_type(g.weighted_output)))
+
+
+@query
+def chart_emission_profile(g):
+    return rounded(reports.emission_profile(carbon.emissions_by_hour(g.plant_output)))
+
+
 @query
 def chart_demand_share(g):
     return rounded(reports.demand_share(demand.demand_by_meter_type(g.meter_readings)))
@@ -376,8 +406,14 @@ def dash_grid_alerts(g):
 
 @query
 def hourly_spine(g):
-    """The default planning period for every plant."""
-    return weather.hourly_spine(g.plants.select(F.col("plant_id").alias("id")), SPINE_START).select("timestamp", "id")
+    """The planning period of every plant from its first recorded hour on."""
+    first = g.plant_output.groupBy(F.col("plant_id").alias("id")).agg(F.min("timestamp").alias("first_hour"))
+    return weather.hourly_spine(first, F.col("first_hour")).select("timestamp", "id")
+
+
+@query
+def reporting_gaps(g):
+    return weather.reporting_gaps(g.plant_output, "plant_id")
 
 
 @query
@@ -415,7 +451,10 @@ def load_factor(g):
 
 @query
 def expected_consumption(g):
-    return weather.expected_consumption(weather.hourly_spine(g.meters, SPINE_START))
+    """Every reading next to what its meter was expected to use."""
+    return weather.expected_consumption(
+        g.meter_readings.join(g.meters.select("meter_id", "base_consumption"), "meter_id")
+    )
 
 
 @query
@@ -430,19 +469,39 @@ def plant_summary_by_type(g):
 
 # everything
 
+_RUNS: dict[tuple[str, str], tuple[str, dict[str, DataFrame]]] = {}
+
+
+def _full_run(g: GridTables) -> tuple[str, dict[str, DataFrame]]:
+    """Folder and results of a full run over the raw tables as CSV: one per session and data folder."""
+    key = (g.spark.sparkContext.applicationId, g.sf_dir)
+    if key not in _RUNS:
+        base = scratch_dir(g.spark)
+        for table in ("meter_readings", "plant_output", "weather"):
+            writers.write_csv(getattr(g, table), f"{base}/raw/{table}.csv")
+        _RUNS[key] = f"{base}/results", run_all(g.spark, f"{base}/raw", f"{base}/results")
+    return _RUNS[key]
+
+
+def _saved(g: GridTables, name: str) -> DataFrame:
+    folder, results = _full_run(g)
+    return read_saved(g.spark, folder, name, results[name].schema)
+
 
 @query
 def full_run_row_counts(g):
-    """Rows of each of the saved results of a full run over the raw tables as CSV."""
-    base = scratch_dir(g.spark)
-    for table in ("meter_readings", "plant_output", "weather"):
-        writers.write_csv(getattr(g, table), f"{base}/raw/{table}.csv")
-    results = run_all(g.spark, f"{base}/raw", f"{base}/results")
-    saved = {
-        name: g.spark.read.schema(results[name].schema).option("header", True).csv(f"{base}/results/{o.folder}/{name}")
-        for name, o in OUTPUTS.items()
-    }
-    return readers.row_counts(saved)
+    """Rows of each of the saved results of a full run."""
+    return readers.row_counts({name: _saved(g, name) for name in OUTPUTS})
+
+
+def _register_full_run() -> None:
+    for name in OUTPUTS:
+        QUERIES[f"full_run_{name}"] = lambda g, name=name: rounded(_saved(g, name))
+    for name in ("blackout_risk", "fraud_impact", "carbon_summary"):
+        QUERIES[f"full_run_{name}"] = lambda g, name=name: rounded(_full_run(g)[1][name])
+
+
+_register_full_run()
 
 
 def bind(build: Callable[[GridTables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
