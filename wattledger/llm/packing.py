@@ -25,6 +25,7 @@ from wattledger.plans.storage import scratch_dir, written
 TOKENIZER = "byte_bpe_50k.json"
 CAPACITY = 1024
 END_ID = 2
+TOLERANCES = (0, 0.002, 0.008, 0.03, 0.06, 0.12)  # shares of the capacity that descents leave free
 
 Filling = tuple[int, ...]  # lengths, descending
 
@@ -81,23 +82,24 @@ def _dominates(one: Filling, other: Filling) -> bool:
     return True
 
 
-def completions(counts: dict[int, int], largest: int, capacity: int, most: int = 3) -> list[Filling]:
-    """Undominated fillings that hold one piece of length ``largest``, least waste first, ``most`` at most.
+def completions(counts: dict[int, int], largest: int, capacity: int, most: int = 3, tolerance: int = 0) -> list[Filling]:
+    """Undominated fillings that hold one piece of length ``largest``, ``most`` at most, the most promising first.
 
-    Each starts from another second piece and goes on with the longest piece that fits, so none has room for a piece
-    that is left. A filling without waste ends the enumeration once there are enough.
+    Each starts from another second piece and goes on with the longest piece that fits while more than ``tolerance`` is
+    free. Promising are those with the least waste beyond the tolerance, and of these the ones of few pieces: short
+    pieces are what later fillings need. The enumeration ends once it has enough that none to come could precede.
     """
     sizes = sorted(counts)
-    found: list[Filling] = []
-    perfect = 0
-    for second in [*reversed(sizes[: bisect_right(sizes, capacity - largest)])]:
+    found: list[tuple[tuple[int, int, int], Filling]] = []
+    good = 0
+    for second in reversed(sizes[: bisect_right(sizes, capacity - largest)]):
         used = Counter([largest])
         if counts[second] <= used[second]:
             continue
         filling, room = [largest, second], capacity - largest - second
         used[second] += 1
         at = bisect_right(sizes, min(room, second)) - 1
-        while room and at >= 0:
+        while room > tolerance and at >= 0:
             size = sizes[at]
             if size <= room and counts[size] > used[size]:
                 used[size] += 1
@@ -106,14 +108,14 @@ def completions(counts: dict[int, int], largest: int, capacity: int, most: int =
                 at = bisect_right(sizes, min(room, size)) - 1
             else:
                 at -= 1
-        found.append(tuple(filling))
-        perfect += not room
-        if perfect >= most or (perfect and len(found) >= 8 * most):
+        found.append(((max(0, room - tolerance), len(filling), room), tuple(filling)))
+        good += room <= tolerance
+        if good >= most and (len(filling) == 2 or 2 * second < capacity - largest):
             break
     if not found:
         return [(largest,)]
     kept: list[Filling] = []
-    for filling in sorted(set(found), key=lambda f: (capacity - sum(f), len(f), [-x for x in f])):
+    for _, filling in sorted(found, key=lambda f: (f[0], [-x for x in f[1]])):
         if len(kept) == most:
             break
         if not any(_dominates(k, filling) for k in kept):
@@ -121,13 +123,28 @@ def completions(counts: dict[int, int], largest: int, capacity: int, most: int =
     return kept
 
 
-def solve(counts: dict[int, int], capacity: int = CAPACITY, max_nodes: int = 20_000) -> list[tuple[Filling, int]]:
+def dive(counts: dict[int, int], capacity: int, tolerance: int) -> list[tuple[Filling, int]]:
+    """One descent of the search: the most promising filling each time, as often as the counts allow."""
+    left, out = dict(counts), []
+    while left:
+        filling = completions(left, max(left), capacity, 1, tolerance)[0]
+        need = Counter(filling)
+        times = min(left[length] // k for length, k in need.items())
+        out.append((filling, times))
+        for length, k in need.items():
+            left[length] -= times * k
+            if not left[length]:
+                del left[length]
+    return out
+
+
+def solve(counts: dict[int, int], capacity: int = CAPACITY, max_nodes: int = 5_000) -> list[tuple[Filling, int]]:
     """Fillings and how many sequences use each, together exactly ``counts``.
 
-    Best-fit decreasing gives the first incumbent. The search then always completes a sequence around the longest piece
-    left, uses that filling as often as the counts allow, and turns back where the waste so far already rules out a
-    better packing than the incumbent. It ends at the lower bound, when all is searched, or after ``max_nodes`` fillings:
-    the result is never worse than best fit.
+    Best-fit decreasing gives the first incumbent, descents with several tolerances may give better ones. The search then
+    completes a sequence around the longest piece left, uses that filling as often as the counts allow, and turns back
+    where the waste so far already rules out a better packing than the incumbent. It ends at the lower bound, when all is
+    searched, or after ``max_nodes`` fillings: the result is never worse than best fit.
     """
     counts = {int(length): int(n) for length, n in counts.items() if n}
     if not counts:
@@ -136,11 +153,17 @@ def solve(counts: dict[int, int], capacity: int = CAPACITY, max_nodes: int = 20_
         raise ValueError("lengths must be 1 to capacity")
     incumbent = best_fit_decreasing(counts, capacity)
     bins, least = sum(n for _, n in incumbent), lower_bound(counts, capacity)
+    tolerance = 0
+    for allowed in TOLERANCES:
+        if bins > least:
+            found = dive(counts, capacity, int(allowed * capacity))
+            if sum(n for _, n in found) < bins:
+                incumbent, bins, tolerance = found, sum(n for _, n in found), int(allowed * capacity)
     total = sum(length * n for length, n in counts.items())
     left = dict(counts)
     path: list[tuple[Filling, int]] = []
     waste = 0
-    stack = [iter(completions(left, max(left), capacity))]
+    stack = [iter(completions(left, max(left), capacity, 3, tolerance))]
     nodes = 0
     while stack and bins > least and nodes < max_nodes:
         filling = next(stack[-1], None)
@@ -164,7 +187,7 @@ def solve(counts: dict[int, int], capacity: int = CAPACITY, max_nodes: int = 20_
             if not left[length]:
                 del left[length]
         if left:
-            stack.append(iter(completions(left, max(left), capacity)))
+            stack.append(iter(completions(left, max(left), capacity, 3, tolerance)))
         else:
             stack.append(iter(()))
             bins, incumbent = sum(n for _, n in path), list(path)
@@ -178,7 +201,7 @@ def _pieces(path: str, capacity: int, end_id: int):
         task = TaskContext.get().partitionId()
         seen: Counter[int] = Counter()
         for batch in batches:
-            for part in slices(batch, 4 << 20):
+            for part in slices(batch, 1 << 20):
                 rows = []
                 for doc_id, ids in zip(part.column(0).to_pylist(), encoder(path).encode([t.decode() for t in texts_of(part)]), strict=True):
                     data = memoryview(ids + end)
@@ -234,7 +257,7 @@ def _assign(places: dict[int, tuple[np.ndarray, ...]]):
 
 
 def pack_documents(
-    documents: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, max_nodes: int = 20_000
+    documents: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, max_nodes: int = 5_000
 ) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset: one row per piece of each row of ``documents``.
 
