@@ -84,7 +84,7 @@ class GridTables:
         return self._parquet("orders").select(
             _hour_of_order(F.col("o_orderdate"), F.col("o_orderkey")).alias("timestamp"),
             *_named(_plant_columns(F.col("o_custkey") % 50)),
-            (F.col("o_totalprice") / F.lit(2500000.0) * scale).alias("output_mw"),
+            (F.col("o_totalprice") / F.lit(2600000.0) * scale).alias("output_mw"),
             F.lit(0.5).alias("availability"),
             (F.col("o_totalprice") / F.lit(62500.0)).alias("operating_cost"),
         )

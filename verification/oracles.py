@@ -20,7 +20,7 @@ plant_output AS (
          'D00' || (o_custkey % 10) AS district_id,
          CASE WHEN (o_custkey % 50) % 7 = 6 THEN CAST(0 AS DOUBLE)
               ELSE CAST(25 + o_custkey % 50 AS DOUBLE) END AS capacity_mw,
-         o_totalprice / CAST(2500000 AS DOUBLE)
+         o_totalprice / CAST(2600000 AS DOUBLE)
            * (CAST(75 + 9 * (o_custkey % 10) AS DOUBLE) / CAST(100 AS DOUBLE)) AS output_mw,
          CAST(0.5 AS DOUBLE) AS availability,
          o_totalprice / CAST(62500 AS DOUBLE) AS operating_cost
