@@ -124,8 +124,14 @@ def test_scratch_folder_follows_the_session(spark):
     first, second = storage.scratch_dir(spark), storage.scratch_dir(spark)
     assert first.startswith(root) and first != second
 
+    class Context:
+        @staticmethod
+        def getCheckpointDir():
+            return None
+
     class Session:
         conf = {}
+        sparkContext = Context
 
     with pytest.raises(ValueError, match=storage.CHECKPOINT_DIR):
         storage.scratch_dir(Session())

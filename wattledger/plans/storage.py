@@ -19,8 +19,11 @@ T = TypeVar("T")
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A new folder name under the session's ``spark.checkpoint.dir``, which has to be a folder all executors reach."""
-    root = spark.conf.get(CHECKPOINT_DIR, None)
+    """A new folder name under the session's ``spark.checkpoint.dir``, which has to be a folder all executors reach.
+
+    Where that is unset, the folder given to ``SparkContext.setCheckpointDir`` serves.
+    """
+    root = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if not root:
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors can reach")
     return f"{root.rstrip('/')}/wattledger-{uuid4().hex}"
