@@ -8,6 +8,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,10 +40,17 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     return [x or b"" for x in batch.column(batch.schema.get_field_index(name)).cast(pa.binary()).to_pylist()]
 
 
+def each_text(column: pa.Array) -> Iterator[bytes]:
+    """The texts one by one as UTF-8 bytes, null as empty, without a second copy of the batch."""
+    for text in column.cast(pa.binary()):
+        yield text.as_py() or b""
+
+
 def slices(batch: pa.RecordBatch, max_bytes: int, name: str = "text") -> Iterator[pa.RecordBatch]:
     """Consecutive rows of ``batch`` with at most about ``max_bytes`` of text, one row at least."""
-    sizes = np.array([len(x) for x in texts_of(batch, name)], dtype=np.int64)
-    total = np.cumsum(sizes)
+    column = batch.column(batch.schema.get_field_index(name)).cast(pa.binary())
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    total = np.cumsum(sizes, dtype=np.int64)
     start = 0
     while start < len(sizes):
         before = total[start - 1] if start else 0

@@ -21,6 +21,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ from wattledger.plans.storage import scratch_dir
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
-SHARD_BYTES = 32 << 20  # of text; a shard is written and read by one task
+SHARD_BYTES = 16 << 20  # of text; a shard is written and read by one task
 
 # fixed value: the customary mask of record files
 _MASK_DELTA = 0xA282EAD8
@@ -81,7 +82,7 @@ def _frames(path: str, end_id: int, bounds: list[int]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 4 << 20):
+            for part in slices(batch, 1 << 20):
                 doc_ids = part.column(0).to_pylist()
                 ids = [np.frombuffer(x + end, "<u4") for x in encoder(path).encode([t.decode() for t in texts_of(part)])]
                 keys = np.array([_NO_ID if d is None else d for d in doc_ids], dtype=np.int64)
@@ -114,12 +115,8 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _files(spark: SparkSession, where: str) -> DataFrame:
     """shard and content of every file; no row for a dataset without records."""
-    return (
-        spark.read.format("binaryFile")
-        .schema("path string, modificationTime timestamp, length long, content binary, shard int")
-        .load(f"{where}/records")
-        .select("shard", "content")
-    )
+    files = spark.read.format("binaryFile").load(f"{where}/records")
+    return files.select(F.regexp_extract("path", "shard=([0-9]+)", 1).cast("int").alias("shard"), "content")
 
 
 def write_records(
@@ -147,44 +144,63 @@ def write_records(
         .text(f"{where}/records")
     )
     schema = "shard int, doc_id long, offset long, size long, n_tokens long"
-    if bounds or not narrow.isEmpty():
-        map_arrow(_files(spark, where), _index, schema).write.parquet(f"{where}/index")
-    else:
-        spark.createDataFrame([], schema).write.parquet(f"{where}/index")
+    map_arrow(_files(spark, where), _index, schema).write.parquet(f"{where}/index")
 
 
 def read_index(spark: SparkSession, where: str) -> DataFrame:
     return spark.read.schema("shard int, doc_id long, offset long, size long, n_tokens long").parquet(f"{where}/index")
 
 
+def _rows(shard: int, data: pa.Buffer, places: Iterator[int]) -> Iterator[pa.RecordBatch]:
+    """The records at the offsets given, a thousand at a time, with the number of ids read before each."""
+    before = 0
+    while some := list(islice(places, 1000)):
+        rows = [parse(data, offset)[:2] for offset in some]
+        counts = np.array([len(ids) for _, ids in rows], dtype=np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([shard] * len(rows), pa.int32()),
+                pa.array(some, pa.int64()),
+                pa.array([doc_id for doc_id, _ in rows], pa.int64()),
+                pa.array(before + np.cumsum(counts) - counts),
+                pa.array([ids.tobytes() for _, ids in rows], pa.binary()),
+            ],
+            ["shard", "offset", "doc_id", "before", "ids"],
+        )
+        before += int(counts.sum())
+
+
+def _in_order(data: pa.Buffer) -> Iterator[int]:
+    offset = 0
+    while offset < len(data):
+        yield offset
+        offset += _HEAD.size + int.from_bytes(data.slice(offset, 8).to_pybytes(), "little") + 5
+
+
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for shard, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            yield from _rows(shard, data.as_buffer(), _in_order(data.as_buffer()))
+
+
 def read_records(spark: SparkSession, where: str, wanted: DataFrame | None = None) -> DataFrame:
-    """shard, offset, doc_id and ids (binary, 4 bytes each) of the records in ``wanted`` (rows of the index; all if None).
+    """shard, offset, doc_id, ids (binary, 4 bytes each) and before (ids of its shard read earlier) of records.
 
-    Every record is found by its offset and size and checked against its checksums. Each file is read by one task with
-    the offsets wanted from it, in ascending order.
+    wanted: rows of the index; each is found by its offset. Without it all files are read from end to end, each where it
+    lies. Every record is checked against its checksums.
     """
-    index = read_index(spark, where) if wanted is None else wanted
-    offsets = index.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("offset", "size"))).alias("places"))
+    schema = "shard int, offset long, doc_id long, before long, ids binary"
+    if wanted is None:
+        return map_arrow(_files(spark, where), _whole, schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, places, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                data = data.as_buffer()
-                for first in range(0, len(places), 1000):
-                    rows = [parse(data, p["offset"]) for p in places[first : first + 1000]]
-                    starts = [p["offset"] for p in places[first : first + 1000]]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([shard] * len(rows), pa.int32()),
-                            pa.array(starts, pa.int64()),
-                            pa.array([r[0] for r in rows], pa.int64()),
-                            pa.array([r[1].tobytes() for r in rows], pa.binary()),
-                        ],
-                        ["shard", "offset", "doc_id", "ids"],
-                    )
+                yield from _rows(shard, data.as_buffer(), iter(places))
 
+    offsets = wanted.groupBy("shard").agg(F.sort_array(F.collect_list("offset")).alias("places"))  # of one file's records
     both = offsets.join(_files(spark, where), "shard").select("shard", "places", "content")
-    return map_arrow(both, run, "shard int, offset long, doc_id long, ids binary")
+    return map_arrow(both, chosen, schema)
 
 
 def shuffled(index: DataFrame, seed: int) -> DataFrame:
@@ -194,30 +210,25 @@ def shuffled(index: DataFrame, seed: int) -> DataFrame:
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids = batch.column(3).to_pylist()
+    for batch in _whole(batches):
+        shard, _, doc_id, before, ids = batch.columns
+        ids = ids.to_pylist()
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:3], pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([zlib.crc32(x) for x in ids], pa.int64())],
-            ["shard", "offset", "doc_id", "n_tokens", "ids_crc32"],
+            [shard, doc_id, before, pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([zlib.crc32(x) for x in ids], pa.int64())],
+            ["shard", "doc_id", "before", "n_tokens", "ids_crc32"],
         )
 
 
 def record_digests(spark: SparkSession, where: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of each record, as read back from the files.
 
-    ``start`` counts the ids of all records before: within the shard by a window over its rows, across shards by a
-    running sum over one row per shard.
+    ``start`` counts the ids of all records before: those of the same file as they are read, those of earlier shards by a
+    running sum over one row per shard of the index. Ids are digested in the task that reads them, and do not leave it.
     """
-    rows = map_arrow(read_records(spark, where), _digests, "shard int, offset long, doc_id long, n_tokens long, ids_crc32 long")
-    index = read_index(spark, where)
-    per_shard = index.groupBy("shard").agg(F.sum("n_tokens").alias("tokens"))
-    before = per_shard.select("shard", (F.sum("tokens").over(Window.orderBy("shard")) - F.col("tokens")).alias("before"))
-    running = F.sum("n_tokens").over(Window.partitionBy("shard").orderBy("offset")) - F.col("n_tokens")
-    return (
-        rows.withColumn("inside", running)
-        .join(before, "shard")
-        .select("doc_id", (F.col("before") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
-    )
+    rows = map_arrow(_files(spark, where), _digests, "shard int, doc_id long, before long, n_tokens long, ids_crc32 long")
+    per_shard = read_index(spark, where).groupBy("shard").agg(F.sum("n_tokens").alias("tokens"))
+    earlier = per_shard.select("shard", (F.sum("tokens").over(Window.orderBy("shard")) - F.col("tokens")).alias("earlier"))
+    return rows.join(earlier, "shard").select("doc_id", (F.col("earlier") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def write_and_digest(documents: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ class Encoder:
     path: a tokenizers JSON file. limit: units remembered; more are encoded each time they occur in a batch.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
