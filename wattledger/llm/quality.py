@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattledger.llm.common import importable, map_arrow, slices, texts_of
+from wattledger.llm.common import each_text, importable, map_arrow, slices, texts_of
 from wattledger.plans.sizing import broadcast_within
 
 ORDER = 4
@@ -76,7 +76,7 @@ def log_ratios(documents: DataFrame, trusted: DataFrame, order: int = ORDER, buc
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, buckets), np.int64)
         for batch in batches:
-            for part in slices(batch, 8 << 20, "text"):
+            for part in slices(batch, 1 << 20, "text"):
                 flags = part.column(0).to_pylist()
                 found = [grams(t, order, buckets) for t in texts_of(part, "text")]
                 for row, keep in ((0, found), (1, [g for g, f in zip(found, flags, strict=True) if f])):
@@ -109,9 +109,12 @@ def quality(ratios: np.ndarray, threshold: float = THRESHOLD, order: int = ORDER
 
     @F.arrow_udf(", ".join(f"{c} long" for c in _STATS).join(["struct<", ", base_failed boolean, llr double, kept boolean>"]))
     def rules(texts: pa.Array) -> pa.Array:
-        rows = [x or b"" for x in texts.cast(pa.binary()).to_pylist()]
-        stats = np.array([base_stats(t) for t in rows], dtype=np.int64).reshape(len(rows), 5)
-        llr = np.array([float(table[g].mean(dtype=np.float64)) if len(g := grams(t, order, buckets)) else 0.0 for t in rows])
+        stats, llr = np.zeros((len(texts), 5), np.int64), np.zeros(len(texts))
+        for row, text in enumerate(each_text(texts)):
+            stats[row] = base_stats(text)
+            found = grams(text, order, buckets)
+            if len(found):
+                llr[row] = table[found].mean(dtype=np.float64)
         failed = (stats[:, 0] < MIN_WORDS) | (100 * stats[:, 4] > MAX_REPEAT_PERCENT * stats[:, 0])
         columns = [*(pa.array(stats[:, i]) for i in range(5)), pa.array(failed), pa.array(llr), pa.array(~failed & (llr >= threshold))]
         return pa.StructArray.from_arrays(columns, [*_STATS, "base_failed", "llr", "kept"])

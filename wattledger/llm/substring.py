@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattledger.llm.common import importable, map_arrow, texts_of
+from wattledger.llm.common import each_text, importable, map_arrow
 from wattledger.plans.storage import scratch_dir, written
 
 WINDOW = 50
@@ -40,14 +40,11 @@ _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         found = xxhash.xxh3_64_intdigest(word)
-        if len(self) < 400_000:
+        if len(self) < 200_000:
             self[word] = found
         return found
 
 
-_WORDS = _WordHashes()
-
-
 @lru_cache(maxsize=4)
 def _powers(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """Powers 0 to n of both bases, and of their inverses, modulo 2^64."""
@@ -71,10 +68,10 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 class Parsed:
     """Blocks of one segment of a document: start of the first and of the last window, anchor, two hashes of the words."""
 
-    def __init__(self, words: list[bytes], window: int):
+    def __init__(self, words: list[bytes], window: int, memo: _WordHashes):
         self.window = window
         n = len(words)
-        hashes = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, n)
+        hashes = np.fromiter(map(memo.__getitem__, words), np.uint64, n)
         powers = _powers(1 << max(12, (n + 1).bit_length()))
         self.sums, self.inverse = [], []
         for x, (power, inverse) in zip((hashes, _mixed(hashes)), powers, strict=True):
@@ -112,10 +109,11 @@ class Parsed:
         return np.repeat(self.first[chosen] - ends + counts, counts) + np.arange(ends[-1] if len(ends) else 0)
 
 
-def segments(words: list[bytes], window: int) -> Iterator[tuple[int, Parsed]]:
+def segments(words: list[bytes], window: int, memo: _WordHashes | None = None) -> Iterator[tuple[int, Parsed]]:
     """Offset and blocks of each segment; every window lies in exactly one."""
+    memo = _WordHashes() if memo is None else memo
     for offset in range(0, len(words) - window + 1, SEGMENT):
-        yield offset, Parsed(words[offset : offset + SEGMENT + window - 1], window)
+        yield offset, Parsed(words[offset : offset + SEGMENT + window - 1], window, memo)
 
 
 def _key(pair: list[np.ndarray]) -> np.ndarray:
@@ -142,10 +140,11 @@ def _member(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
 
 def _blocks_of(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo = _WordHashes()
         for batch in batches:
             ids, parts = [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), texts_of(batch, "content"), strict=True):
-                for _, parsed in segments(text.split(), window):
+            for doc_id, text in zip(batch.column(0).to_pylist(), each_text(batch.column(1)), strict=True):
+                for _, parsed in segments(text.split(), window, memo):
                     _, which = np.unique(_key(parsed.blocks), return_index=True)  # a passage repeated in itself is one row
                     ids.append(np.full(len(which), doc_id, np.int64))
                     parts.append([parsed.blocks[0][which], parsed.blocks[1][which], parsed.anchors[which]])
@@ -158,10 +157,11 @@ def _blocks_of(window: int):
 
 def _windows_of(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo = _WordHashes()
         for batch in batches:
-            for doc_id, text, open_blocks in zip(batch.column(0).to_pylist(), texts_of(batch, "content"), batch.column(2).to_pylist(), strict=True):
+            for doc_id, text, open_blocks in zip(batch.column(0).to_pylist(), each_text(batch.column(1)), batch.column(2).to_pylist(), strict=True):
                 known = _packed(open_blocks)
-                for _, parsed in segments(text.split(), window):
+                for _, parsed in segments(text.split(), window, memo):
                     starts = parsed.starts_of(np.flatnonzero(_member(_key(parsed.blocks), known)))
                     unique = np.unique(_key(parsed.windows(starts)))
                     if len(unique):
@@ -206,13 +206,14 @@ def duplicate_marks(documents: DataFrame, window: int = WINDOW) -> tuple[DataFra
 def _cut(window: int):
     @F.arrow_udf("struct<n_words long, n_removed long, kept binary>")
     def cut(texts: pa.Array, blocks: pa.Array, windows: pa.Array) -> pa.Array:
+        memo = _WordHashes()
         counts, removed, kept = [], [], []
-        for text, known, repeated in zip(texts.cast(pa.binary()).to_pylist(), blocks.to_pylist(), windows.to_pylist(), strict=True):
-            words = (text or b"").split()
+        for text, known, repeated in zip(each_text(texts), blocks.to_pylist(), windows.to_pylist(), strict=True):
+            words = text.split()
             change = np.zeros(len(words) + 1, np.int64)
             if known or repeated:
                 known, repeated = _packed(known), _packed(repeated)
-                for offset, parsed in segments(words, window):
+                for offset, parsed in segments(words, window, memo):
                     inside = np.flatnonzero(_member(_key(parsed.blocks), known))
                     starts = np.arange(len(parsed.sums[0]) - window)
                     alone = np.flatnonzero(_member(_key(parsed.windows(starts)), repeated)) if len(repeated) else starts[:0]

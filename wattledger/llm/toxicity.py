@@ -17,14 +17,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattledger.llm.common import id_crc, importable, map_arrow, texts_of
+from wattledger.llm.common import each_text, id_crc, importable, map_arrow, texts_of
 
 MAX_TRAIN = 20_000  # labelled rows that lexicon and trees are fitted on
 LEXICON_SIZE = 400
 MIN_DOCUMENTS = 3  # toxic training texts that a lexicon entry occurs in
 MIN_OCCURRENCES = 6  # and how often it does so altogether
 MIN_LOG_ODDS = 3.0
-STEMS = (4, 5)  # lexicon entries are words, and word beginnings of these lengths
+STEMS = (4, 5, 6, 7, 8)  # lexicon entries are words, and word beginnings of these lengths
 NEAR = 4  # words
 THRESHOLD = 0.7
 
@@ -36,7 +36,6 @@ SECOND_PERSON = frozenset(
 _DISGUISE = str.maketrans("013457@$!", "oieastasi")
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 _DISGUISED = re.compile(r"[^\W\d_][\d@$*!#+]+[^\W\d_]")
-_LONG_RUN = re.compile(r"(.)\1\1", re.DOTALL)
 _PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 FEATURES = (
@@ -57,64 +56,92 @@ def entries(word: str) -> list[str]:
 
 
 class WordClasses(dict):
-    """word -> (lexicon entry + 1, weight, second person, capitals, disguised), worked out once per distinct word."""
+    """word -> number of its class; the properties of a class, worked out once per distinct word, are in arrays.
+
+    Words with the same properties share a class: lexicon entry (0: none), weight, second person, capitals, disguised.
+    """
 
     def __init__(self, lexicon: dict[str, float], limit: int = 300_000):
         super().__init__()
         self.weights = lexicon
         self.number = {entry: i + 1 for i, entry in enumerate(sorted(lexicon))}
         self.limit = limit
+        self.classes: dict[tuple, int] = {}
+        self.properties = np.zeros((0, 5))
 
-    def __missing__(self, word: bytes) -> tuple:
+    def __missing__(self, word: bytes) -> int:
         text = word.decode()
-        bare = core(text)
-        hit = max((e for e in entries(bare) if e in self.weights), key=lambda e: (self.weights[e], len(e), e), default=None)
+        plain = text.isalpha()
+        bare = text.lower() if plain else core(text)
+        hit, best = None, 0.0
+        for entry in entries(bare):
+            weight = self.weights.get(entry, 0.0)
+            if weight > best:
+                hit, best = entry, weight
         shouted = len(text) > 1 and text.isupper()
-        found = (self.number.get(hit, 0), self.weights.get(hit, 0.0), bare in SECOND_PERSON, shouted, bool(_DISGUISED.search(text)))
+        found = (self.number.get(hit, 0), best, bare in SECOND_PERSON, shouted, not plain and bool(_DISGUISED.search(text)))
+        if found not in self.classes:
+            self.classes[found] = len(self.classes)
+            self.properties = np.vstack([self.properties, np.array([found], dtype=np.float64)])
         if len(self) < self.limit:
-            self[word] = found
-        return found
+            self[word] = self.classes[found]
+        return self.classes[found]
+
+
+_ABOVE_ASCII = bytes(range(128, 256))
+_CAPITALS = bytes(range(0x41, 0x5B))
+_SMALL = bytes(range(0x61, 0x7B))
+
+
+def _share_of(text: bytes, characters: bytes) -> int:
+    return len(text) - len(text.translate(None, characters))
 
 
 def features(text: bytes, classes: WordClasses) -> list[float]:
-    """The dense features of one text; all 0 for a text without words."""
+    """The dense features of one text; all 0 for a text without words.
+
+    Characters beyond ASCII count as letters.
+    """
     words = text.split()
     n = len(words)
     if not n:
         return [0.0] * len(FEATURES)
-    number, weight, second, shouted, disguised = zip(*map(classes.__getitem__, words), strict=True)
-    hits = np.flatnonzero(number)
-    you = np.flatnonzero(second)
+    which = np.fromiter(map(classes.__getitem__, words), np.int64, n)
+    counts = np.bincount(which, minlength=len(classes.properties)).astype(np.float64)
+    number, weight, second, shouted, disguised = classes.properties.T
+    hits = np.flatnonzero((number > 0)[which]) if counts[number > 0].any() else np.empty(0, np.int64)
+    you = np.flatnonzero((second > 0)[which]) if counts[second > 0].any() else np.empty(0, np.int64)
+    near = nearness = 0.0
     if len(hits) and len(you):
         after = np.searchsorted(you, hits)
         before = np.abs(hits - you[np.maximum(after - 1, 0)])
         gap = np.minimum(before, np.abs(you[np.minimum(after, len(you) - 1)] - hits))
         near, nearness = float((gap <= NEAR).sum()), float((1 / (1 + gap)).mean())
-    else:
-        near = nearness = 0.0
-    string = text.decode()
-    letters = sum(map(str.isalpha, string)) if not string.isascii() else len(re.findall("[A-Za-z]", string))
-    capitals = len(re.findall("[A-Z]", string))
-    counted = Counter(number[i] for i in hits)
-    size = len(string)
+    per_entry = np.bincount(number.astype(np.int64), counts)[1:]
+    ascii_size = len(text.translate(None, _ABOVE_ASCII))
+    size = len(text) if ascii_size == len(text) else len(text.decode())
+    capitals = _share_of(text, _CAPITALS)
+    letters = capitals + _share_of(text, _SMALL) + size - ascii_size
+    data = np.frombuffer(text, np.uint8)
+    same = data[1:] == data[:-1]
     return [
         float(np.log1p(n)),
         100 * len(hits) / n,
-        100 * float(sum(weight)) / n,
-        float(len(counted)),
-        100 * sum(len(words[i]) for i in hits) / len(text),
+        100 * float(counts @ weight) / n,
+        float((per_entry > 0).sum()),
+        100 * sum([len(words[i]) for i in hits.tolist()]) / len(text),
         100 * len(you) / n,
         100 * near / n,
         nearness,
         capitals / max(letters, 1),
-        sum(shouted) / n,
+        float(counts @ shouted) / n,
         100 * text.count(b"!") / size,
         100 * text.count(b"?") / size,
-        (len(text) - len(text.translate(None, _PUNCTUATION))) / size,
-        (len(text) - len(text.translate(None, b"#*$%&|<>@~^"))) / size,
-        100 * sum(disguised) / n,
-        100 * len(_LONG_RUN.findall(string)) / size,
-        float(max(counted.values(), default=0)),
+        _share_of(text, _PUNCTUATION) / size,
+        _share_of(text, b"#*$%&|<>@~^") / size,
+        100 * float(counts @ disguised) / n,
+        100 * float((same[1:] & same[:-1]).sum()) / size,
+        float(per_entry.max(initial=0.0)),
     ]
 
 
@@ -290,8 +317,7 @@ def score_column(model: Model, text: Column) -> Column:
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         classes = WordClasses(model.lexicon)
         for texts in batches:
-            rows = texts.cast(pa.binary()).to_pylist()
-            x = np.array([features(t or b"", classes) for t in rows], dtype=np.float64).reshape(len(rows), len(FEATURES))
+            x = np.array([features(t, classes) for t in each_text(texts)], dtype=np.float64).reshape(len(texts), len(FEATURES))
             yield pa.array(model.scores(x))
 
     return score(text.cast("string"))
