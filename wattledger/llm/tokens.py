@@ -10,7 +10,6 @@ import json
 import os
 import re
 from array import array
-from collections.abc import Iterable
 from functools import lru_cache
 
 # white space on which str.split, Python's \s and the tokenizers' \s do not agree for certain: such texts are one unit
@@ -27,10 +26,25 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in keep} | {b: chr(256 + i) for i, b in enumerate(moved)}
 
 
+class _Memo(dict):
+    """unit -> ids as bytes; remembers the first ``limit`` units of usual length, and works out others each time."""
+
+    def __init__(self, ids, limit: int):
+        super().__init__()
+        self.ids = ids
+        self.limit = limit
+
+    def __missing__(self, unit: str) -> bytes:
+        found = array("I", self.ids(unit)).tobytes()
+        if len(self) < self.limit and len(unit) <= 64:
+            self[unit] = found
+        return found
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit integers in bytes, the same as ``encode(..., add_special_tokens=False)``.
 
-    path: a tokenizers JSON file. limit: units remembered; more are encoded each time they occur in a batch.
+    path: a tokenizers JSON file. limit: units remembered; others are encoded each time they occur.
     """
 
     def __init__(self, path: str, limit: int = 200_000):
@@ -38,8 +52,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.limit = limit
-        self.memo: dict[str, bytes] = {}
+        self.memo = _Memo(self.ids, limit)
         with open(path, encoding="utf-8") as file:
             config = json.load(file)
         pre, normalizer = config.get("pre_tokenizer") or {}, config.get("normalizer")
@@ -86,29 +99,16 @@ class Encoder:
         if self.kind == "whole" or not _PLAIN.fullmatch(unit) or (self.special and self.special.search(unit)):
             return self.tokenizer.encode(unit, add_special_tokens=False).ids
         out: list[int] = []
+        tokenize, letters = self.tokenizer.model.tokenize, self.letters
         for piece in self.pieces.findall(unit.lower() if self.lower else unit):
-            out += [t.id for t in self.tokenizer.model.tokenize("".join([self.letters[b] for b in piece.encode()]))]
+            # visible ASCII stands for itself
+            written = piece if piece.isascii() and piece[0] != " " else "".join([letters[b] for b in piece.encode()])
+            out += [t.id for t in tokenize(written)]
         return out
 
-    def encode_units(self, units: Iterable[str]) -> dict[str, bytes]:
-        """unit -> ids as bytes, for the units given and all remembered ones."""
-        memo = self.memo
-        unknown = [u for u in set(units) if u not in memo]
-        encoded = {u: array("I", self.ids(u)).tobytes() for u in unknown}
-        if len(memo) < self.limit:
-            memo.update((u, x) for u, x in encoded.items() if len(u) <= 64)
-        return encoded
-
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text; 4 bytes each."""
-        units = [self.units(t) for t in texts]
-        fresh = self.encode_units(u for us in units for u in us)
-        if fresh:
-            memo = self.memo
-            get = lambda u: memo[u] if u in memo else fresh[u]
-        else:
-            get = self.memo.__getitem__
-        return [b"".join(map(get, us)) for us in units]
+        return [b"".join(map(self.memo.__getitem__, self.units(t))) for t in texts]
 
 
 @lru_cache(maxsize=4)
