@@ -77,7 +77,10 @@ class Model:
         self.words = re.compile(f"{_SPACE}*[{letters}]+|{_SPACE}+|[^{letters}{_SPACE}]" if letters and not crossing else "(?s).+")
         self.limit = limit
         self.memo: dict[str, bytes] = {}
-        self.compatible_pairs: dict[tuple[str, str], bool] = {}
+        # every beginning of a piece; true where it is a piece
+        self.beginnings = {p[:k]: False for p in self.pieces for k in range(1, len(p))} | dict.fromkeys(self.pieces, True)
+        self.followers: dict[str, dict[str, bool]] = {}  # piece -> whether others are compatible behind it
+        self.followed = 0
         # text of each id for decoding: bytes, so that byte pieces next to each other make characters
         self.texts = [
             b"" if p.type in (kinds.CONTROL,) else bytes([int(p.piece[3:5], 16)]) if p.type == kinds.BYTE else p.piece.replace(_SPACE, " ").encode()
@@ -104,43 +107,95 @@ class Model:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def weight(self, before: str, piece: str) -> float:
-        """Weight of ``piece`` after ``before`` ("" at a place that no piece reaches over)."""
-        if not self.bpe:
-            return self.score.get(piece, self.unknown_score)
-        known = self.compatible_pairs.get((before, piece))
-        if known is None:
-            known = self.merged(before + piece) == ([before, piece] if before else [piece])
-            if len(self.compatible_pairs) > 1_000_000:
-                self.compatible_pairs.clear()
-            self.compatible_pairs[before, piece] = known
-        return 0.0 if known else _NONE
+    def _compatible(self, before: str, piece: str) -> bool:
+        """Whether merging both gives just these two ("" stands for a place that no piece reaches over)."""
+        found = self.merged(before + piece) == ([before, piece] if before else [piece])
+        if self.followed > 1_000_000:
+            self.followers.clear()
+            self.followed = 0
+        self.followers.setdefault(before, {})[piece] = found
+        self.followed += 1
+        return found
 
     def paths(self, text: str, start: int, before: str, stop: int) -> dict[int, tuple[float, str, int]]:
         """Best (weight, last piece, its beginning) of each position that paths from ``start`` reach.
 
-        Pieces begin before ``stop``, and may end behind it. ``before`` is the piece that ends at ``start``.
+        Pieces begin before ``stop``, and may end behind it. ``before`` is the piece that ends at ``start``. Single
+        characters always count as pieces.
         """
         best: dict[int, tuple[float, str, int]] = {start: (0.0, before, -1)}
-        n, pieces = len(text), self.pieces
-        for end in range(start + 1, min(n, stop + self.longest - 1) + 1):
-            found: tuple[float, str, int] | None = None
-            for begin in range(max(start, end - self.longest), min(end, stop)):  # longest piece first
-                reached = best.get(begin)
-                if reached is None:
-                    continue
+        n, beginnings, bpe = len(text), self.beginnings, self.bpe
+        for begin in range(start, min(n, stop)):
+            reached = best.get(begin)
+            if reached is None:
+                continue
+            weight, last, _ = reached
+            row = self.followers.get(last, {}) if bpe else None
+            end = begin + 1
+            piece = text[begin:end]
+            kind = beginnings.get(piece)
+            allowed = True
+            while True:
+                if allowed:
+                    if not bpe:
+                        total = weight + self.score.get(piece, self.unknown_score)
+                        if end not in best or total > best[end][0]:
+                            best[end] = (total, piece, begin)
+                    elif end not in best:  # there is one path to each position
+                        fits = row.get(piece)
+                        if self._compatible(last, piece) if fits is None else fits:
+                            best[end] = (0.0, piece, begin)
+                if kind is None or end >= n:
+                    break
+                end += 1
                 piece = text[begin:end]
-                if piece not in pieces and end - begin > 1:
-                    continue
-                weight = reached[0] + self.weight(reached[1], piece)
-                if weight > (found[0] if found else _NONE):
-                    found = (weight, piece, begin)
-                    if self.bpe:  # there is no second path
-                        break
-            if found:
-                best[end] = found
+                kind = beginnings.get(piece)
+                if kind is None:
+                    break
+                allowed = kind
         return best
 
+    def _ends(self, text: str, begin: int) -> list[int]:
+        """Ends of all pieces that begin there, ascending."""
+        end, n, beginnings = begin + 1, len(text), self.beginnings
+        out = [end]
+        kind = beginnings.get(text[begin:end])
+        while kind is not None and end < n:
+            end += 1
+            kind = beginnings.get(text[begin:end])
+            if kind:
+                out.append(end)
+        return out
+
+    def only_path(self, word: str) -> list[str]:
+        """The path of a whole word in the lattice of a BPE model, which ``paths`` would find as well.
+
+        Where all weights are 0 or minus infinity and each position has one path at most, the first path to the end is the
+        best. It is sought longest piece first; a position from which the end cannot be reached is not tried again.
+        """
+        n, dead = len(word), set()
+        stack = [(0, "", self._ends(word, 0))]
+        out: list[str] = []
+        while True:
+            begin, last, ends = stack[-1]
+            row = self.followers.get(last, {})
+            while ends:
+                end = ends.pop()
+                if end in dead:
+                    continue
+                piece = word[begin:end]
+                fits = row.get(piece)
+                if self._compatible(last, piece) if fits is None else fits:
+                    out.append(piece)
+                    if end == n:
+                        return out
+                    stack.append((end, piece, self._ends(word, end)))
+                    break
+            else:
+                dead.add(begin)
+                stack.pop()
+                out.pop()
+
     def backtrace(self, best: dict[int, tuple[float, str, int]], end: int, start: int) -> list[str]:
         out = []
         while end > start:
@@ -164,7 +219,9 @@ class Model:
         """Ids of one word, 4 bytes each."""
         found = self.memo.get(word)
         if found is None:
-            found = array("I", self.ids_of(self.backtrace(self.paths(word, 0, "", len(word)), len(word), 0))).tobytes()
+            whole = len(word)
+            path = self.only_path(word) if self.bpe else self.backtrace(self.paths(word, 0, "", whole), whole, 0)
+            found = array("I", self.ids_of(path)).tobytes()
             if len(self.memo) < self.limit and len(word) <= 64:
                 self.memo[word] = found
         return found
@@ -392,7 +449,8 @@ def encode_documents(documents: DataFrame, model_path: str | None = None, chunk:
 
     @F.arrow_udf("binary")
     def encode(texts: pa.Array) -> pa.Array:
-        return pa.array([model(path).encode(model(path).normalize(t or "")) if t else b"" for t in texts.to_pylist()], pa.binary())
+        rows = (t.as_py() for t in texts)
+        return pa.array([model(path).encode(model(path).normalize(t)) if t else b"" for t in rows], pa.binary())
 
     narrow = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     giant = F.coalesce(F.length("text") > chunk, F.lit(False))
@@ -413,17 +471,16 @@ def decoded(ids: Column, model_path: str | None = None) -> Column:
 
 def encoding_digests(documents: DataFrame, model_path: str | None = None, chunk: int = CHUNK) -> DataFrame:
     """doc_id, n_tokens, ids_crc32, and n_chars and text_crc32 of the text that the ids decode to."""
+    path = model_path or default_path(MODEL)
 
-    @F.arrow_udf("long")
-    def crc(column: pa.Array) -> pa.Array:
-        return pa.array([zlib.crc32(x) for x in column.to_pylist()], pa.int64())
-
-    ids = encode_documents(documents, model_path, chunk)
-    text = ids.select("doc_id", "ids", decoded(F.col("ids"), model_path).alias("text"))
-    return text.select(
-        "doc_id",
-        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        crc("ids").alias("ids_crc32"),
-        F.length("text").cast("long").alias("n_chars"),
-        F.crc32(F.col("text").cast("binary")).alias("text_crc32"),
-    )
+    @F.arrow_udf("struct<n_tokens long, ids_crc32 long, n_chars long, text_crc32 long>")
+    def digest(column: pa.Array) -> pa.Array:
+        found = np.zeros((len(column), 4), np.int64)
+        for row, data in enumerate(column):
+            data = data.as_py()
+            text = model(path).decode(np.frombuffer(data, "<u4"))
+            found[row] = len(data) // 4, zlib.crc32(data), len(text), zlib.crc32(text.encode())
+        return pa.StructArray.from_arrays([pa.array(c) for c in found.T.copy()], ["n_tokens", "ids_crc32", "n_chars", "text_crc32"])
+
+    digests = encode_documents(documents, path, chunk).select("doc_id", digest("ids").alias("d"))
+    return digests.select("doc_id", "d.n_tokens", "d.ids_crc32", "d.n_chars", "d.text_crc32")
