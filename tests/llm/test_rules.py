@@ -207,6 +207,37 @@ def test_language_accuracy_on_test_data(spark, sf_dir):
     assert np.mean([r["lang"] == r["lang_pred"] for r in rows]) > 0.97
 
 
+@pytest.mark.parametrize("dense", [1 << 24, 0])
+def test_scores_are_kernel_ridge_with_intercept(monkeypatch, dense):
+    """Against plain kernel matrices; with all rows as landmarks nothing is approximated but the rank."""
+    monkeypatch.setattr(langid, "_DENSE", dense)
+    texts, names = zip(*[(t, k) for _, t, k, *_ in languages(60)], strict=True)
+    sets = [set(langid.present(t).tolist()) for t in texts]
+    unseen = [t for _, t, *_ in languages(75)][60:]
+    kernel = lambda a, b: np.array([[len(x & y) / np.sqrt(len(x) * len(y)) for y in b] for x in a])
+    values, vectors = np.linalg.eigh(kernel(sets, sets))
+    whiten = vectors / np.sqrt(values)
+    features = np.hstack([kernel(sets, sets) @ whiten, np.ones((60, 1))])
+    target = np.array([[1.0 if n == k else -1.0 for k in sorted(set(names))] for n in names])
+    w = np.linalg.solve(features.T @ features / 60 + langid.RIDGE * np.eye(61), features.T @ target / 60)
+    expected = kernel([set(langid.present(t).tolist()) for t in unseen], sets) @ whiten @ w[:-1] + w[-1]
+    assert np.abs(w[-1]).max() > 0.01
+    got = langid.fit(langid.presence(list(texts)), list(names)).scores(unseen)
+    assert np.allclose(got, expected, atol=1e-3)
+
+
+def test_texts_of_several_megabytes(spark):
+    """Each language of the test data joined to one text, which holds nearly every n-gram of a few letters."""
+    documents = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("text IS NOT NULL AND lang IS NOT NULL")
+    joined: dict[str, list[str]] = {}
+    for r in documents.select("lang", "text").collect():
+        joined.setdefault(r["lang"], []).append(r["text"])
+    model = langid.train(documents)
+    texts = ["\n".join(joined[k]) for k in model.languages]
+    assert len(texts) > 1 and min(map(len, texts)) > 2_000_000
+    assert [model.languages[i] for i in model.scores(texts).argmax(1)] == model.languages
+
+
 @pytest.mark.parametrize("text", ["", "a", "abc"])
 def test_short_texts_have_no_grams(text):
     assert len(quality.grams(text.encode())) == 0

@@ -3,7 +3,8 @@
 The kernel of two texts is the number of hashed byte n-grams (1 to 4 bytes of the lower-cased text) present in both,
 divided by the geometric mean of their numbers of n-grams. Nyström landmarks approximate it, and one-versus-rest kernel
 ridge regression on the landmark features gives a score per language. The landmarks, their whitening and the ridge
-coefficients multiply to one matrix from n-grams to languages, so texts are scored by one matrix product per batch.
+coefficients multiply to one matrix from n-grams to languages; the intercept is added to the scores. A long text would hold
+n-grams of every kind, so the kernel is taken for consecutive parts of the whole text, and their scores are averaged.
 """
 
 from __future__ import annotations
@@ -18,65 +19,175 @@ from pyspark.sql import functions as F
 
 from wattledger.llm.common import id_crc, importable, map_arrow
 
-BUCKETS = 1 << 14
+BUCKETS = 1 << 20
+PART = 4096  # characters of a text that are one row of n-grams
 ORDERS = (1, 2, 3, 4)
 MAX_LANGUAGES = 64
 TRAIN_PER_LANGUAGE = 500
 LANDMARKS_PER_LANGUAGE = 48
 RIDGE = 1e-3
 UNKNOWN = "und"
+_DENSE = 1 << 24  # weights held as one matrix from buckets to languages up to this size
 
 
-def presence(texts: list[str], buckets: int = BUCKETS) -> np.ndarray:
-    """One row per text: 1 for each bucket that holds one of its n-grams."""
-    out = np.zeros((len(texts), buckets), np.uint8)
+@dataclass
+class Presence:
+    """Sparse rows of presence bits: the sorted buckets of each row, one row after the other."""
+
+    found: np.ndarray
+    starts: np.ndarray  # of each row, and the end
+    buckets: int
+
+    @classmethod
+    def of(cls, rows: list[np.ndarray], buckets: int) -> Presence:
+        starts = np.concatenate([[0], np.cumsum([len(r) for r in rows], dtype=np.int64)]).astype(np.int64)
+        return cls(np.concatenate([np.zeros(0, np.int32), *rows]), starts, buckets)
+
+    def __len__(self) -> int:
+        return len(self.starts) - 1
+
+    def row(self, i: int) -> np.ndarray:
+        return self.found[self.starts[i] : self.starts[i + 1]]
+
+    def sum(self, axis: int = 1) -> np.ndarray:
+        """The number of bits of each row."""
+        assert axis == 1
+        return np.diff(self.starts)
+
+    def norms(self) -> np.ndarray:
+        return np.sqrt(np.maximum(self.sum(), 1))
+
+
+def present(text: str, buckets: int = BUCKETS) -> np.ndarray:
+    """The sorted buckets that hold an n-gram of the text."""
     shift = np.uint32(32 - (buckets.bit_length() - 1))
-    for row, text in enumerate(texts):
-        data = np.frombuffer(text.lower().encode(), np.uint8).astype(np.uint32)
-        key = np.zeros(len(data), np.uint32)
-        for order in ORDERS:
-            if len(data) < order:
-                break
-            key = (key[: len(data) - order + 1] << np.uint32(8)) | data[order - 1 :]
-            mixed = (key ^ np.uint32(order * 0x85EBCA6B & 0xFFFFFFFF)) * np.uint32(0x9E3779B1)
-            out[row, (mixed ^ (mixed >> np.uint32(15))) * np.uint32(0x85EBCA77) >> shift] = 1
-    return out
+    data = np.frombuffer(text.lower().encode(), np.uint8).astype(np.uint32)
+    key, out = np.zeros(len(data), np.uint32), []
+    for order in ORDERS:
+        if len(data) < order:
+            break
+        key = (key[: len(data) - order + 1] << np.uint32(8)) | data[order - 1 :]
+        mixed = (key ^ np.uint32(order * 0x85EBCA6B & 0xFFFFFFFF)) * np.uint32(0x9E3779B1)
+        out.append((mixed ^ (mixed >> np.uint32(15))) * np.uint32(0x85EBCA77) >> shift)
+    if not out:
+        return np.zeros(0, np.int32)
+    all_ = np.sort(np.concatenate(out))
+    return all_[np.concatenate([[True], all_[1:] != all_[:-1]])].astype(np.int32)
+
+
+def presence(texts: list[str], buckets: int = BUCKETS) -> Presence:
+    """One row per text: the buckets that hold one of its n-grams."""
+    return Presence.of([present(t, buckets) for t in texts], buckets)
+
+
+def parts(text: str) -> list[tuple[int, int]]:
+    """Start and end of the consecutive parts of a text, of nearly equal length and PART characters at most."""
+    n = max(1, -(-len(text) // PART))
+    edges = [len(text) * i // n for i in range(n + 1)]
+    return list(zip(edges, edges[1:], strict=False))
+
+
+class Landmarks:
+    """Kernel of n-gram rows with the landmarks.
+
+    Buckets of many landmarks are columns of a matrix; of each other bucket, the landmarks that hold it are listed.
+    """
+
+    def __init__(self, marks: Presence):
+        holders = np.bincount(marks.found, minlength=marks.buckets)
+        common = holders > max(8, len(marks) // 8)
+        owner = np.repeat(np.arange(len(marks), dtype=np.int32), marks.sum())
+        self.column = np.where(common, np.cumsum(common) - 1, -1).astype(np.int32)
+        self.matrix = np.zeros((int(common.sum()), len(marks)), np.float32)
+        often = common[marks.found]
+        self.matrix[self.column[marks.found[often]], owner[often]] = 1
+        self.owner = owner[~often][np.argsort(marks.found[~often], kind="stable")]
+        self.first = np.concatenate([[0], np.cumsum(np.where(common, 0, holders))])
+        self.norms = marks.norms()
+
+    def kernels(self, rows: list[np.ndarray]) -> np.ndarray:
+        held = np.zeros((len(rows), len(self.matrix)), np.float32)
+        rare = np.zeros((len(rows), len(self.norms)))
+        for i, row in enumerate(rows):
+            column = self.column[row]
+            held[i, column[column >= 0]] = 1
+            low, size = self.first[row], self.first[row + 1] - self.first[row]
+            place = np.repeat(low - np.cumsum(size) + size, size) + np.arange(size.sum())
+            rare[i] = np.bincount(self.owner[place], minlength=len(self.norms))
+        sizes = np.array([max(1, len(r)) for r in rows])
+        return (held @ self.matrix + rare) / (self.norms * np.sqrt(sizes)[:, None])
 
 
 @dataclass
 class LanguageModel:
     languages: list[str]
-    weights: np.ndarray  # n-gram buckets x languages
+    marks: Landmarks | None  # only where there are too many languages for a matrix from buckets to languages
+    place: np.ndarray | None  # else the row of each bucket in that matrix
+    weights: np.ndarray  # rows of buckets, or landmarks, x languages
+    intercept: np.ndarray
+    buckets: int
+
+    def _scores(self, rows: list[np.ndarray]) -> np.ndarray:
+        if self.marks:
+            return self.marks.kernels(rows) @ self.weights
+        return np.stack([self.weights[self.place[r]].sum(0, dtype=np.float64) / np.sqrt(max(1, len(r))) for r in rows])
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        found = presence(texts, len(self.weights)).astype(np.float32)
-        return found @ self.weights / np.sqrt(np.maximum(found.sum(1, keepdims=True), 1))
+        """Scores of each text and language: the mean over the consecutive parts of the whole text."""
+        out = np.zeros((len(texts), len(self.languages)))
+        for i, text in enumerate(texts):
+            cuts = parts(text)
+            for start in range(0, len(cuts), 64):
+                out[i] += self._scores([present(text[a:b], self.buckets) for a, b in cuts[start : start + 64]]).sum(0)
+            out[i] /= len(cuts)
+        return out + self.intercept
 
 
-def fit(found: np.ndarray, languages: list[str], landmarks: int = LANDMARKS_PER_LANGUAGE, ridge: float = RIDGE) -> LanguageModel:
+def fit(found: Presence, languages: list[str], landmarks: int = LANDMARKS_PER_LANGUAGE, ridge: float = RIDGE) -> LanguageModel:
     """Kernel ridge regression on the rows of ``found``; the first ``landmarks`` rows of each language are landmarks."""
     names = sorted(set(languages))
-    label = np.array([names.index(x) for x in languages], dtype=np.int64)
-    unit = found.astype(np.float32)
-    unit /= np.sqrt(np.maximum(unit.sum(1, keepdims=True), 1))
-    marks = unit[np.concatenate([np.flatnonzero(label == k)[:landmarks] for k in range(len(names))])]
-    values, vectors = np.linalg.eigh((marks @ marks.T).astype(np.float64))
+    number = {name: k for k, name in enumerate(names)}
+    label = np.array([number[x] for x in languages], dtype=np.int64)
+    chosen = np.concatenate([np.flatnonzero(label == k)[:landmarks] for k in range(len(names))])
+    rows = Presence.of([found.row(i) for i in chosen], found.buckets)
+    marks = Landmarks(rows)
+
+    def kernels(of: Presence) -> Iterator[np.ndarray]:
+        for start in range(0, len(of), 256):
+            yield marks.kernels([of.row(i) for i in range(start, min(start + 256, len(of)))])
+
+    values, vectors = np.linalg.eigh(np.vstack(list(kernels(rows))))
     keep = values > 1e-6 * values.max()
     whiten = vectors[:, keep] / np.sqrt(values[keep])
-    features = (unit @ marks.T).astype(np.float64) @ whiten
-    features = np.hstack([features, np.ones((len(features), 1))])
     share = 1 / (np.bincount(label, minlength=len(names))[label] * len(names))  # each language weighs the same
-    target = 2.0 * (label[:, None] == np.arange(len(names))) - 1
-    weighted = features * share[:, None]
-    coefficients = np.linalg.solve(features.T @ weighted + ridge * np.eye(features.shape[1]), weighted.T @ target)
-    return LanguageModel(names, (marks.T @ (whiten @ coefficients[:-1])).astype(np.float32))
+    width = whiten.shape[1] + 1
+    left, right = ridge * np.eye(width), np.zeros((width, len(names)))
+    start = 0
+    for some in kernels(found):  # sums over rows, so that their features are never all held
+        of = slice(start, start := start + len(some))
+        features = np.hstack([some @ whiten, np.ones((len(some), 1))])
+        weighted = features * share[of, None]
+        left += features.T @ weighted
+        right += weighted.T @ (2.0 * (label[of, None] == np.arange(len(names))) - 1)
+    coefficients = np.linalg.solve(left, right)
+    of_marks = whiten @ coefficients[:-1]
+    active = np.unique(rows.found)
+    if len(active) * len(names) > _DENSE:
+        return LanguageModel(names, marks, None, of_marks, coefficients[-1], found.buckets)
+    place = np.zeros(found.buckets, np.int32)
+    place[active] = np.arange(1, len(active) + 1)
+    weights = np.zeros((len(active) + 1, len(names)))  # the first for buckets that no landmark has
+    for i, of_mark in enumerate(of_marks / rows.norms()[:, None]):
+        weights[place[rows.row(i)]] += of_mark
+    return LanguageModel(names, None, place, weights.astype(np.float32), coefficients[-1], found.buckets)
 
 
 def training_rows(documents: DataFrame, per_language: int = TRAIN_PER_LANGUAGE, max_languages: int = MAX_LANGUAGES) -> DataFrame:
-    """lang and presence bits of about ``per_language`` rows of each of the ``max_languages`` most frequent languages.
+    """lang and n-gram buckets of about ``per_language`` rows of each of the ``max_languages`` most frequent languages.
 
     Only rows with text, doc_id and lang outside the held-out fold. The sample is chosen by a hash of the id against the
-    share that the language's count asks for, so no language is gathered in one place.
+    share that the language's count asks for, so no language is gathered in one place. Of a long text, the part that the
+    hash chooses is the row, so that rows are bounded.
     """
     usable = documents.where("text IS NOT NULL AND doc_id IS NOT NULL AND lang IS NOT NULL").where(id_crc(F.col("doc_id")) % 5 != 0)
     usable = usable.select(F.col("doc_id").alias("id"), F.col("lang").alias("language"), F.col("text").cast("string").alias("content"))
@@ -87,20 +198,23 @@ def training_rows(documents: DataFrame, per_language: int = TRAIN_PER_LANGUAGE,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                bits = np.packbits(presence(part.column(1).to_pylist()), axis=1)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array([b.tobytes() for b in bits], pa.binary())], ["language", "key", "bits"])
+                some = batch.slice(start, 256)
+                rows = []
+                for text, key in zip(some.column(1).to_pylist(), some.column(2).to_pylist(), strict=True):
+                    cuts = parts(text)
+                    low, high = cuts[(key >> 20) % len(cuts)]
+                    rows.append(present(text[low:high]).astype("<i4").tobytes())
+                yield pa.RecordBatch.from_arrays([some.column(0), some.column(2), pa.array(rows, pa.binary())], ["language", "key", "found"])
 
-    return map_arrow(chosen, run, "language string, key long, bits binary")
+    return map_arrow(chosen, run, "language string, key long, found binary")
 
 
 def train(documents: DataFrame) -> LanguageModel | None:
-    """The model of ``training_rows``, which are at most about 64 x 500 rows of 2 KB; None if there are none."""
-    rows = sorted(training_rows(documents).collect(), key=lambda r: (r["language"], r["key"], r["bits"]))
+    """The model of ``training_rows``, which are at most about 64 x 500 rows of 10 KB; None if there are none."""
+    rows = sorted(training_rows(documents).collect(), key=lambda r: (r["language"], r["key"], r["found"]))
     if not rows:
         return None
-    bits = np.frombuffer(b"".join(r["bits"] for r in rows), np.uint8).reshape(len(rows), -1)
-    return fit(np.unpackbits(bits, axis=1), [r["language"] for r in rows])
+    return fit(Presence.of([np.frombuffer(r["found"], "<i4") for r in rows], BUCKETS), [r["language"] for r in rows])
 
 
 def identify_languages(documents: DataFrame) -> DataFrame:
