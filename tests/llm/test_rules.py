@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 import zlib
 from collections import Counter
@@ -238,6 +239,20 @@ def test_texts_of_several_megabytes(spark):
     assert [model.languages[i] for i in model.scores(texts).argmax(1)] == model.languages
 
 
+def test_no_language_is_left_out(spark, monkeypatch):
+    """More languages than 64, the later ones rarer; then a budget of less than one row and landmark each."""
+    rnd = random.Random(7)
+    words = {f"l{k:02}": " ".join("".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(4)) for k in range(80)}
+    names = [name for k, name in enumerate(words) for _ in range(12 if k < 70 else 8)]
+    rows = [(i, prose(i, 12, words[name]), name, "a", 1) for i, name in enumerate(names)]
+    df = spark.createDataFrame(rows, DOCUMENTS)
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify_languages(df).collect()}
+    assert got == {r[0]: r[2] for r in rows}
+    assert {r["language"] for r in langid.training_rows(df, total=40).collect()} == words.keys()
+    monkeypatch.setattr(langid, "LANDMARKS", 40)
+    assert langid.train(df).languages == list(words)
+
+
 @pytest.mark.parametrize("text", ["", "a", "abc"])
 def test_short_texts_have_no_grams(text):
     assert len(quality.grams(text.encode())) == 0

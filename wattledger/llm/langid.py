@@ -18,13 +18,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattledger.llm.common import id_crc, importable, map_arrow
+from wattledger.plans.sizing import broadcast_within
+from wattledger.plans.storage import scratch_dir, written
 
 BUCKETS = 1 << 20
 PART = 4096  # characters of a text that are one row of n-grams
 ORDERS = (1, 2, 3, 4)
-MAX_LANGUAGES = 64
 TRAIN_PER_LANGUAGE = 500
 LANDMARKS_PER_LANGUAGE = 48
+TRAIN_ROWS = 32_000  # in all, divided over the languages; each has one row at least
+LANDMARKS = 3_072  # likewise
 RIDGE = 1e-3
 UNKNOWN = "und"
 _DENSE = 1 << 24  # weights held as one matrix from buckets to languages up to this size
@@ -182,18 +185,23 @@ def fit(found: Presence, languages: list[str], landmarks: int = LANDMARKS_PER_LA
     return LanguageModel(names, None, place, weights.astype(np.float32), coefficients[-1], found.buckets)
 
 
-def training_rows(documents: DataFrame, per_language: int = TRAIN_PER_LANGUAGE, max_languages: int = MAX_LANGUAGES) -> DataFrame:
-    """lang and n-gram buckets of about ``per_language`` rows of each of the ``max_languages`` most frequent languages.
+def training_rows(documents: DataFrame, per_language: int = TRAIN_PER_LANGUAGE, total: int = TRAIN_ROWS) -> DataFrame:
+    """lang and n-gram buckets of about ``per_language`` rows of every language, or of fewer if that is over ``total`` in all.
 
     Only rows with text, doc_id and lang outside the held-out fold. The sample is chosen by a hash of the id against the
-    share that the language's count asks for, so no language is gathered in one place. Of a long text, the part that the
+    share that the language's count asks for, so no language is gathered in one place; the row of the smallest hash is
+    always in it, so no language is without rows. Of a long text, the part that the
     hash chooses is the row, so that rows are bounded.
     """
     usable = documents.where("text IS NOT NULL AND doc_id IS NOT NULL AND lang IS NOT NULL").where(id_crc(F.col("doc_id")) % 5 != 0)
     usable = usable.select(F.col("doc_id").alias("id"), F.col("lang").alias("language"), F.col("text").cast("string").alias("content"))
-    counts = usable.groupBy("language").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "language").limit(max_languages)
-    share = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < F.lit(float(per_language << 20)) / F.col("n")
-    chosen = usable.join(F.broadcast(counts), "language").where(share).select("language", "content", F.xxhash64("id").alias("key"))
+    usable = usable.withColumn("key", F.xxhash64("id"))
+    counts = usable.groupBy("language").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("least"))
+    counts = written(counts, f"{scratch_dir(documents.sparkSession)}/languages")
+    each = max(1, min(per_language, total // max(1, counts.count())))
+    share = F.pmod("key", F.lit(1 << 20)) < F.lit(float(each << 20)) / F.col("n")
+    chosen = usable.join(broadcast_within(counts), "language").where(share | (F.col("key") == F.col("least")))
+    chosen = chosen.select("language", "content", "key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -210,11 +218,13 @@ def training_rows(documents: DataFrame, per_language: int = TRAIN_PER_LANGUAGE,
 
 
 def train(documents: DataFrame) -> LanguageModel | None:
-    """The model of ``training_rows``, which are at most about 64 x 500 rows of 10 KB; None if there are none."""
+    """The model of ``training_rows``, which are about 32,000 rows of 10 KB, or one for each language; None if there are none."""
     rows = sorted(training_rows(documents).collect(), key=lambda r: (r["language"], r["key"], r["found"]))
     if not rows:
         return None
-    return fit(Presence.of([np.frombuffer(r["found"], "<i4") for r in rows], BUCKETS), [r["language"] for r in rows])
+    languages = [r["language"] for r in rows]
+    landmarks = max(1, min(LANDMARKS_PER_LANGUAGE, LANDMARKS // len(set(languages))))
+    return fit(Presence.of([np.frombuffer(r["found"], "<i4") for r in rows], BUCKETS), languages, landmarks)
 
 
 def identify_languages(documents: DataFrame) -> DataFrame:
