@@ -9,6 +9,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import DOCUMENTS, by_key, prose, text_of
 from wattledger.llm import simhash, substring
@@ -77,6 +78,27 @@ def test_one_of_each_component_stays(awkward, awkward_rows):
     assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == sorted(expected, key=repr)
 
 
+def test_rows_of_repeated_ids_are_decided_one_by_one(spark):
+    """A row goes as a copy only for its own text, and of repeated rows one stays."""
+    copied, unique, twice, one, two = (prose(60 + i, 40) for i in range(5))
+    rows = [(1, copied), (5, copied), (5, unique), (9, twice), (9, twice), (9, twice), (4, one), (4, two), (12, two), (None, one), (None, one)]
+    df = spark.createDataFrame([(*r, "en", "a", 1) for r in rows], DOCUMENTS)
+    expected = [(1, copied), (5, unique), (9, twice), (4, one), (4, two), (None, one), (None, one)]
+    for parts in (1, 4):
+        kept = simhash.without_duplicates(df.repartition(parts))
+        assert kept.columns == df.columns and dict(kept.dtypes) == dict(df.dtypes)
+        assert by_key(kept, "doc_id", "text") == sorted(expected, key=repr)
+
+
+def test_of_different_rows_with_one_id_and_near_texts_one_stays(spark):
+    text = prose(6, 200)
+    near = text.replace("alpha", "alfa", 1)
+    assert (plain_fingerprint(text) ^ plain_fingerprint(near)).bit_count() <= 3
+    df = spark.createDataFrame([(3, text, "en", "a", 1), (3, near, "en", "a", 1), (3, near, "en", "b", 1)], DOCUMENTS)
+    kept = [simhash.without_duplicates(df.orderBy(F.desc("text") if d else "text")).collect() for d in (0, 1)]
+    assert len(kept[0]) == 1 and kept[0] == kept[1]
+
+
 def clustered(seed: int, centres: int, near: int) -> np.ndarray:
     rng = np.random.default_rng(seed)
     out = set(rng.integers(0, 2**63, centres, dtype=np.uint64).tolist()) | {0, 2**64 - 1, 2**63}

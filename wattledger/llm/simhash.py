@@ -245,16 +245,8 @@ def fingerprint_links(prints: DataFrame, errors: int = ERRORS, split_above: int
     return map_arrow(groups, _links_of_groups(errors), "a long, b long")
 
 
-def near_duplicates(documents: DataFrame, errors: int = ERRORS, split_above: int = SPLIT_ABOVE) -> DataFrame:
-    """doc_id, fingerprint (16 hexadecimal digits) and component_id of every row of ``documents`` (doc_id, text).
-
-    Documents link if their fingerprints differ in ``errors`` bits or fewer; component_id is the smallest doc_id that a
-    document reaches over links, itself included. A null text is empty; all texts without words have fingerprint 0 and
-    are linked like any other. A null doc_id is never smallest; a component of only such rows has a null component_id.
-    Repeated rows are linked as equal texts are; other columns are ignored; an empty table gives no rows.
-
-    Equal fingerprints become one leaf before any join, so copies cost a row each and no pair.
-    """
+def _components(documents: DataFrame, errors: int = ERRORS, split_above: int = SPLIT_ABOVE) -> DataFrame:
+    """doc_id, fp, root and component_id of every row; root is the same for all of a component and for no other."""
     spark = importable(documents.sparkSession)
     base = scratch_dir(spark)
     found = documents.select(F.col("doc_id").cast("long").alias("doc_id"), fingerprints(F.col("text")).alias("fp"))
@@ -267,19 +259,50 @@ def near_duplicates(documents: DataFrame, errors: int = ERRORS, split_above: int
     rooted = written(rooted, f"{base}/rooted")
     of_root = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     linked = rooted.select("fp", "root").join(of_root, "root")
-    labelled = found.join(linked.select(F.col("fp").alias("leaf"), "component_id"), F.col("fp") == F.col("leaf"))
-    return labelled.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    labelled = found.join(linked.select(F.col("fp").alias("leaf"), "root", "component_id"), F.col("fp") == F.col("leaf"))
+    return labelled.select("doc_id", "fp", "root", "component_id")
 
 
-def duplicates(documents: DataFrame) -> DataFrame:
-    """doc_ids of ``documents`` that another document of their component precedes: those to remove, each once."""
-    return near_duplicates(documents).where("doc_id <> component_id").select("doc_id").distinct()
+def near_duplicates(documents: DataFrame, errors: int = ERRORS, split_above: int = SPLIT_ABOVE) -> DataFrame:
+    """doc_id, fingerprint (16 hexadecimal digits) and component_id of every row of ``documents`` (doc_id, text).
+
+    Documents link if their fingerprints differ in ``errors`` bits or fewer; component_id is the smallest doc_id that a
+    document reaches over links, itself included. A null text is empty; all texts without words have fingerprint 0 and
+    are linked like any other. A null doc_id is never smallest; a component of only such rows has a null component_id.
+    Repeated rows are linked as equal texts are; other columns are ignored; an empty table gives no rows.
+
+    Equal fingerprints become one leaf before any join, so copies cost a row each and no pair.
+    """
+    labelled = _components(documents, errors, split_above)
+    return labelled.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def without_duplicates(documents: DataFrame) -> DataFrame:
-    """``documents`` with one document of each component: the one with the smallest doc_id.
+    """``documents`` with one row of each component: of the rows with its smallest doc_id, the one of the smallest
+    fingerprint, text and other columns.
+
+    All columns stay as they are. Rows without doc_id stay. Rows are decided one by one: of rows that share a doc_id, each
+    is judged by its own text, and the rows that repeat one that stays go.
 
-    All columns stay as they are. Rows without doc_id stay, as do repeated rows of the document that stays.
+    An id that one row has is decided by the id alone; only rows of repeated ids are looked up by fingerprint too.
     """
-    gone = broadcast_within(written(duplicates(documents), f"{scratch_dir(documents.sparkSession)}/gone").withColumnRenamed("doc_id", "gone_id"))
-    return documents.join(gone, documents["doc_id"] == gone["gone_id"], "left_anti")
+    base = scratch_dir(documents.sparkSession)
+    labelled = written(_components(documents).where("doc_id IS NOT NULL"), f"{base}/labelled")
+    decided = labelled.groupBy("doc_id").agg((F.count(F.lit(1)) > 1).alias("repeated"), (F.max("component_id") != F.col("doc_id")).alias("gone"))
+    # a repeated id goes here, and what stays of its rows is added below
+    decided = written(decided.where("repeated OR gone").select(F.col("doc_id").alias("gone_id"), "repeated"), f"{base}/gone")
+    gone = broadcast_within(decided.select("gone_id"))
+    plain = documents.join(gone, documents["doc_id"] == gone["gone_id"], "left_anti")
+    repeated = decided.where("repeated").select(F.col("gone_id").alias("again_id"))
+    if repeated.isEmpty():
+        return plain
+    first = labelled.where("doc_id = component_id").join(repeated, F.col("doc_id") == F.col("again_id"), "left_semi")
+    first = written(first.select(F.col("doc_id").alias("first_id"), F.col("fp").alias("leaf"), "root").distinct(), f"{base}/first")
+    row = F.struct(*(documents[c] for c in documents.columns))
+    again = broadcast_within(repeated)
+    of_ids = documents.join(again, documents["doc_id"] == again["again_id"], "left_semi")
+    rows = of_ids.select(row.alias("row"), F.col("doc_id").cast("long").alias("doc_id"), fingerprints(F.col("text")).alias("fp"))
+    rows = rows.join(broadcast_within(first), (F.col("doc_id") == F.col("first_id")) & (F.col("fp") == F.col("leaf")))
+    order = F.struct("fp", F.col("row.text"), F.to_json("row"))
+    kept = rows.groupBy("root").agg(F.min_by("row", order).alias("row")).select("row.*")
+    return plain.unionByName(kept)
