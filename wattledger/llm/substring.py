@@ -1,18 +1,17 @@
-"""Removal of passages that an earlier document has, by factoring documents relative to an index of reference blocks.
+"""Removal of passages that an earlier document has, by content-defined blocks and their windows.
 
 Every document is cut into blocks at anchors that depend on the words alone: of the eight-word grams inside a window of
 50 words, the one with the smallest hash is the window's anchor, and the windows that follow each other with the same
 anchor make a block. Equal passages are therefore cut into equal blocks, wherever they lie.
 
 1. The index has each distinct block with the smallest document that holds it.
-2. A document is factored from left to right: blocks which the index knows from a smaller document follow each other
-   in one factor as long as they go on. Each is at least 50 words long, so its words are duplicates.
-3. A factor ends within a block where the texts part, or begins within one. Such a block is not known as a whole, but
-   its anchor is known from another block. At these factor boundaries each window is checked by itself: the windows of all
-   distinct blocks that share their anchor with a different block are compared with each other.
+2. Each block of a document which the index knows from a smaller document is marked. It is at least 50 words long, so its
+   words are duplicates.
+3. Where texts part within a block, it is not known as a whole, but its anchor is known from another block. The windows
+   of all distinct blocks that share their anchor with a different block are compared with each other, one by one.
 
 Any window that occurs in two documents has the same anchor in both, so its blocks are equal (2) or share their anchor
-(3): the result is exact. What is shuffled is a row per block, and a row per window only at factor boundaries.
+(3): the result is exact. What is shuffled is a row per block, and a row per window only for blocks that share an anchor.
 """
 
 from __future__ import annotations
