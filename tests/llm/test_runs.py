@@ -1,0 +1,152 @@
+"""Periodic runs against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from tests.llm.conftest import DOCUMENTS, by_key, text_of
+from wattledger.llm import runs
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def plain_runs(words: list, repeats: int, shortest: int) -> set:
+    """Every maximal stretch of every period, kept if no smaller period holds for it."""
+    n, out = len(words), set()
+    for q in range(1, n // repeats + 1):
+        i = 0
+        while i + q < n:
+            if words[i] != words[i + q]:
+                i += 1
+                continue
+            start = i
+            while i + q < n and words[i] == words[i + q]:
+                i += 1
+            length = i - start + q
+            inside = words[start : start + length]
+            smaller = any(inside[r:] == inside[:-r] for r in range(1, q))
+            if length >= max(shortest, repeats * q) and not smaller:
+                out.add((start, length, q))
+    return out
+
+
+def collapsed(words: list, found) -> str:
+    gone = {i for start, length, q in found for i in range(start + q, start + length)}
+    return " ".join(w for i, w in enumerate(words) if i not in gone)
+
+
+def random_words(rnd: random.Random) -> list[int]:
+    n, letters = rnd.randint(0, 60), rnd.randint(1, 4)
+    words = [rnd.randrange(letters) for _ in range(n)]
+    if n and rnd.random() < 0.7:
+        a, period, stop = rnd.randrange(n), rnd.randint(1, 9), rnd.randint(0, n)
+        for i in range(a + period, stop):
+            words[i] = words[i - period]
+    return words
+
+
+@pytest.mark.parametrize("repeats, shortest", [(4, 6), (2, 2), (3, 7), (4, 4), (2, 5)])
+def test_automaton_finds_the_runs(repeats, shortest):
+    rnd = random.Random(repeats * 10 + shortest)
+    for _ in range(600):
+        words = random_words(rnd)
+        assert set(runs.runs_within(words, repeats, shortest)) == plain_runs(words, repeats, shortest), words
+
+
+@pytest.mark.parametrize("repeats, shortest", [(4, 6), (2, 2), (3, 7)])
+def test_windows_lose_no_run(repeats, shortest):
+    rnd = random.Random(repeats)
+    for _ in range(200):
+        documents = [random_words(rnd) for _ in range(5)]
+        offsets = np.cumsum([0, *map(len, documents)])
+        flat = np.array([w for d in documents for w in d], dtype=np.int64)
+        found = runs.runs_of(flat, offsets, repeats, shortest)
+        for i, words in enumerate(documents):
+            expected = sorted(plain_runs(words, repeats, shortest), key=lambda r: (r[0], r[2]))
+            assert found.get(i, []) == expected, words
+
+
+def test_known_words_of_the_automaton():
+    """Fibonacci words are full of squares of many periods, a single word over and over is one run."""
+    a, b = [0], [0, 1]
+    while len(b) < 400:
+        a, b = b, b + a
+    assert set(runs.runs_within(b, 2, 2)) == plain_runs(b, 2, 2)
+    assert runs.runs_within([5] * 1000) == [(0, 1000, 1)]
+    assert runs.windows(np.arange(1000), np.array([0, 1000])) == []
+
+
+def plain_digests(rows):
+    out = []
+    for row in rows:
+        words = WORD.findall(text_of(row))
+        n = len(words)
+        h = zlib.crc32(str(row[0]).encode()) if row[0] is not None else 1
+        if h % 10 == 0 and n:
+            g = h // 10
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+        found = sorted(plain_runs(words, 4, 6), key=lambda r: (r[0], r[2]))
+        best = min(found, key=lambda r: (-r[1], r[0], r[2]), default=None)
+        lines = "".join(f"{s},{length},{q}\n" for s, length, q in found)
+        digests = [hashlib.sha256(x.encode()).hexdigest() for x in (lines, collapsed(words, found))]
+        out.append((row[0], len(found), *((best[0], best[1], best[2], 1000 * best[1] // best[2]) if best else (None,) * 4), *digests))
+    return sorted(out, key=repr)
+
+
+COLUMNS = ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"]
+
+
+def short_periods(rows):
+    """Brute force is quadratic: texts of more than 3,000 words have their own test."""
+    return [r for r in rows if len(WORD.findall(text_of(r))) <= 3000]
+
+
+def test_digests_of_awkward_rows(spark, awkward_rows):
+    rows = short_periods(awkward_rows) + [
+        (20, "a b " * 4, "en", "a", 1),
+        (21, "x " * 5, "en", "a", 1),
+        (22, "x " * 6, "en", "a", 1),
+        (23, "start " + "a b c " * 4 + "a x y x y x y x y end", "en", "a", 1),
+        (24, "A a A a A a A a", "en", "a", 1),
+        (25, "a\x1cb\x85c\u2003d " * 7, "en", "a", 1),
+    ]
+    assert by_key(runs.run_digests(spark.createDataFrame(rows, DOCUMENTS)), *COLUMNS) == plain_digests(rows)
+
+
+def test_every_tenth_text_is_made_periodic(spark):
+    rnd = random.Random(8)
+    rows = [(i * 7 - 300, " ".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(0, 120))), "en", "a", 1) for i in range(400)]
+    rows += [(-(2**63), "a b c", "en", "a", 1), (2**63 - 1, "a a a a a a a", "en", "a", 1)]
+    got = by_key(runs.run_digests(spark.createDataFrame(rows, DOCUMENTS).repartition(5)), *COLUMNS)
+    assert got == plain_digests(rows) and sum(r[1] > 0 for r in got) > 10
+
+
+def test_awkward_columns_and_empty_tables(spark, awkward, empty):
+    found = runs.periodic_runs(awkward)
+    assert found.columns == ["doc_id", "n_words", "runs", "collapsed"]
+    rows = {r["doc_id"]: r for r in found.collect()}
+    assert [tuple(x) for x in rows[10]["runs"]] == [(0, 300, 1)] and rows[10]["collapsed"] == "spam"
+    assert rows[3]["n_words"] == 0 and rows[3]["collapsed"] == "" and rows[3]["runs"] == []
+    assert runs.run_digests(awkward).count() == awkward.count()
+    assert runs.run_digests(empty).collect() == []
+    with pytest.raises(ValueError):
+        runs.periodic_runs(awkward, repeats=1)
+
+
+def test_a_text_of_megabytes(spark):
+    """Periods of thousands of words inside a long text; prose around them does not reach the automaton."""
+    rnd = random.Random(2)
+    prose = [str(rnd.randrange(20_000)) for _ in range(400_000)]
+    block = [str(rnd.randrange(20_000)) for _ in range(3_000)]
+    words = prose[:200_000] + block * 5 + prose[200_000:]
+    row = runs.periodic_runs(spark.createDataFrame([(1, " ".join(words), "en", "a", 1)], DOCUMENTS)).first()
+    assert [tuple(r) for r in row["runs"]] == [(200_000, 15_000, 3_000)]
+    assert row["collapsed"] == " ".join(prose[:200_000] + block + prose[200_000:])

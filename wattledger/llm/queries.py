@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattledger.llm import ann, counts, langid, packing, quality, records, simhash, spm, substring, toxicity
+from wattledger.llm import ann, counts, langid, packing, quality, records, runs, simhash, spm, substring, toxicity
 from wattledger.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,9 @@ def op9_token_counts(spark, sf_dir):
 @query
 def op10_language_id(spark, sf_dir):
     return langid.identify_languages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_periodic_runs(spark, sf_dir):
+    """Runs in texts some of which are made periodic."""
+    return runs.run_digests(table(spark, sf_dir, "documents"))
