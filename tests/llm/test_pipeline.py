@@ -38,7 +38,7 @@ def test_queries_run(spark, name):
 @pytest.mark.parametrize("name", list(ORACLES))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "labels", "embeddings"):
+    for t in ("documents", "labels", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
     types, rows = spark_result(QUERIES[name](spark, SMALL))
     expected_types, expected = duckdb_result(con, ORACLES[name])

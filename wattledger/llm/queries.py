@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattledger.llm import ann, counts, langid, packing, quality, records, runs, simhash, spm, substring, toxicity
+from wattledger.llm import ann, counts, langid, packing, prefix_trie, quality, records, runs, simhash, spm, substring, toxicity
 from wattledger.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,12 @@ def op10_language_id(spark, sf_dir):
 def op12_periodic_runs(spark, sf_dir):
     """Runs in texts some of which are made periodic."""
     return runs.run_digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_prefix_trie(spark, sf_dir):
+    """Beginnings of conversations that begin with turns of every hundredth."""
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"), rebuild=True)
+
+
+ORACLES["op13_prefix_trie"] = prefix_trie.ORACLE_SQL
