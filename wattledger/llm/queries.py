@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattledger.llm import ann, counts, langid, packing, prefix_trie, quality, records, runs, simhash, spm, substring, toxicity
+from wattledger.llm import ann, counts, jaccard, langid, packing, prefix_trie, quality, records, runs, simhash, spm, substring, toxicity
 from wattledger.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,6 +74,14 @@ def op10_language_id(spark, sf_dir):
     return langid.identify_languages(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_ngram_jaccard_join(spark, sf_dir):
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_ngram_jaccard_join"] = jaccard.ORACLE_SQL
+
+
 @query
 def op12_periodic_runs(spark, sf_dir):
     """Runs in texts some of which are made periodic."""
