@@ -6,14 +6,15 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattledger.operators import balance, carbon, demand, fraud, supply
 from wattledger.plans import cubes
 from wattledger.plans.scoring import meter_scores
 from wattledger.plans.sizing import broadcast_within
-from wattledger.plans.storage import concurrently, scratch, scratch_dir, written
+from wattledger.plans.storage import Write, concurrently, scratch, scratch_dir, written
 from wattledger.sources.readers import read_csv, read_table
 from wattledger.sources.writers import write_csv, write_parquet
 
@@ -79,10 +80,10 @@ def balance_results(results: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-def fraud_results(sums: DataFrame, folder: str) -> dict[str, DataFrame]:
+def fraud_results(sums: DataFrame, folder: str, write: Write = written) -> dict[str, DataFrame]:
     """From energy per meter and district; intermediate tables go to ``folder``."""
-    stats, scored = meter_scores(sums, folder)
-    scored = written(scored, f"{folder}/meter_zscores")
+    stats, scored = meter_scores(sums, folder, write=write)
+    scored = write(scored, f"{folder}/meter_zscores")
     return {
         "district_stats": stats,
         "meter_zscores": scored,
@@ -105,29 +106,44 @@ def carbon_results(output: DataFrame, total_supply: DataFrame) -> dict[str, Data
 
 
 def analyze(
-    readings: DataFrame, plant_output: DataFrame, weather: DataFrame, folder: str | None = None
+    readings: DataFrame, plant_output: DataFrame, weather: DataFrame, folder: str | None = None, write: Write = written
 ) -> dict[str, DataFrame]:
     """All results and summaries by name.
 
     The readings and the plant output are scanned once each. Their pre-aggregates and the scored meters are written to
     ``folder`` (a new one below the session's checkpoint folder by default), which must not hold such tables yet; every
-    returned frame reads only those, so the folder has to stay while the frames are in use.
+    returned frame reads only those, so the folder has to stay while the frames are in use. ``write`` may be
+    ``storage.resumable``, to take up a run that broke off.
     """
     spark = readings.sparkSession
     folder = folder or scratch_dir(spark)
-    matches = broadcast_within(written(supply.weather_matches(weather), f"{folder}/weather_matches"))
+    matches = broadcast_within(write(supply.weather_matches(weather), f"{folder}/weather_matches"))
     rollup, generation = concurrently(
         spark,
         [
-            lambda: written(cubes.readings_rollup(readings), f"{folder}/readings", "per_meter"),
-            lambda: written(cubes.generation_cube(plant_output, matches), f"{folder}/generation"),
+            lambda: write(cubes.readings_rollup(readings), f"{folder}/readings", "per_meter"),
+            lambda: write(cubes.generation_cube(plant_output, matches), f"{folder}/generation"),
         ],
     )
     results = demand_results(cubes.demand_view(rollup)) | supply_results(cubes.supply_view(generation))
-    results |= balance_results(results) | fraud_results(cubes.meter_view(rollup), folder)
+    results |= balance_results(results) | fraud_results(cubes.meter_view(rollup), folder, write)
     return results | carbon_results(cubes.carbon_view(generation), results["total_supply"])
 
 
+def save_one(name: str, df: DataFrame, out_dir: str, fmt: str = "csv", single_files: bool = False) -> int:
+    """Write one result to ``out_dir/<folder>/<name>`` and return its number of rows, which the write itself counts."""
+    output = OUTPUTS[name]
+    path = f"{out_dir}/{output.folder}/{name}"
+    counted = Observation()
+    ordered = df.orderBy(*output.order) if output.order else df
+    ordered = ordered.observe(counted, F.count(F.lit(1)).alias("rows"))
+    if fmt == "parquet":
+        write_parquet(ordered, path)
+    else:
+        write_csv(ordered, path, single_file=single_files and bool(output.order))
+    return counted.get["rows"]
+
+
 def save(
     results: Mapping[str, DataFrame], out_dir: str, fmt: str = "csv", single_files: bool = False
 ) -> list[str]:
@@ -135,19 +151,10 @@ def save(
 
     single_files: bring each sorted result, which districts x 24 hours bound, into one file. Others never are.
     """
-
-    def write(name: str) -> None:
-        output = OUTPUTS[name]
-        path = f"{out_dir}/{output.folder}/{name}"
-        df = results[name].orderBy(*output.order) if output.order else results[name]
-        if fmt == "parquet":
-            write_parquet(df, path)
-        else:
-            write_csv(df, path, single_file=single_files and bool(output.order))
-
     names = [name for name in OUTPUTS if name in results]
     if names:
-        concurrently(results[names[0]].sparkSession, [partial(write, name) for name in names])
+        writes = [partial(save_one, name, results[name], out_dir, fmt, single_files) for name in names]
+        concurrently(results[names[0]].sparkSession, writes)
     return names
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 T = TypeVar("T")
+Write = Callable[..., DataFrame]  # frame, path and partition columns -> the table read back: ``written`` or ``resumable``
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -46,6 +47,19 @@ def written(df: DataFrame, path: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` came to its end."""
+    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+
+
+def resumable(df: DataFrame, path: str, *partition_by: str) -> DataFrame:
+    """As ``written``, but a table that an earlier start finished is read as it is, and leftovers of a broken one are replaced."""
+    if not is_written(df.sparkSession, path):
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def concurrently(spark: SparkSession, actions: Iterable[Callable[[], T]], jobs: int = 4) -> list[T]:
     """Results of independent actions, submitted to Spark ``jobs`` at a time so that one fills the tail of another.
 
