@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from wattledger import constants as C
 from wattledger.operators import supply
+from wattledger.plans.meter_layout import MeterLayout, write_meter_layout
 from wattledger.plans.sizing import broadcast_within
 from wattledger.plans.storage import scratch_dir, written
+from wattledger.sources.periods import read_by_day, write_by_day
 
 
 def _hour_of_order(day: Column, order_key: Column) -> Column:
@@ -58,8 +60,12 @@ def _named(columns: dict[str, Column]) -> list[Column]:
     return [column.alias(name) for name, column in columns.items()]
 
 
+# tables that queries share: written once per session and data folder
+_SHARED: dict[tuple[str, str, str], object] = {}
+
+
 class GridTables:
-    """Lazy frames; each use plans its own scan of the Parquet files."""
+    """Lazy frames; each use plans its own scan of the Parquet files, or of tables that were derived from them once."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -68,6 +74,13 @@ class GridTables:
     def _parquet(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def shared(self, name: str, build):
+        """What ``build`` gives for a new folder, once per session and data folder."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _SHARED:
+            _SHARED[key] = build(f"{scratch_dir(self.spark)}/{name}")
+        return _SHARED[key]
+
     @cached_property
     def meter_readings(self) -> DataFrame:
         return self._parquet("lineitem").select(
@@ -93,8 +106,12 @@ class GridTables:
     def weather(self) -> DataFrame:
         """The hours of the meter readings, those of every 11th day of the month twice.
 
-        Plants also report at other hours, which have no weather. Some cloud factors are missing.
+        Plants also report at other hours, which have no weather. Some cloud factors are missing. The table is written once,
+        as a table of its own would be, so that queries need no scan of the readings for it.
         """
+        return self.shared("weather", lambda path: written(self._weather(), path))
+
+    def _weather(self) -> DataFrame:
         ts = F.col("timestamp")
         hours = self.meter_readings.select("timestamp").distinct()
         hours = hours.withColumn("copy", F.explode(F.sequence(F.lit(0), F.when(F.day(ts) % 11 == 0, 1).otherwise(0))))
@@ -158,7 +175,7 @@ class GridTables:
     # first, as the tables they stand for would be, so that the count does not derive them a second time
 
     def _small_side(self, name: str, df: DataFrame) -> DataFrame:
-        return broadcast_within(written(df, f"{scratch_dir(self.spark)}/{name}"))
+        return self.shared(name, lambda path: broadcast_within(written(df, path)))
 
     @cached_property
     def weather_factors(self) -> DataFrame:
@@ -169,6 +186,26 @@ class GridTables:
         matches = self._small_side("weather_matches", supply.weather_matches(self.weather))
         return supply.weather_weighted(self.plant_output, matches)
 
+    @cached_property
+    def layout(self) -> MeterLayout:
+        """Readings and meters in buckets by meter."""
+        return self.shared("layout", lambda path: write_meter_layout(self.meter_readings, self.meters, path))
+
+    @cached_property
+    def readings_by_day(self) -> DataFrame:
+        return read_by_day(self.spark, "meter_readings", self._by_day("meter_readings"))
+
+    @cached_property
+    def output_by_day(self) -> DataFrame:
+        return read_by_day(self.spark, "plant_output", self._by_day("plant_output"))
+
+    def _by_day(self, table: str) -> str:
+        def write(path: str) -> str:
+            write_by_day(getattr(self, table), path)
+            return path
+
+        return self.shared(f"{table}_by_day", write)
+
     @cached_property
     def plant_hours(self) -> DataFrame:
         """Every recorded plant-hour with its plant's efficiency and cost per MWh.

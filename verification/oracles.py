@@ -243,7 +243,18 @@ ORACLES: dict[str, str] = {
         """SELECT district_id, round_even(sum(kwh), 6) AS total_demand_kwh FROM meter_readings GROUP BY district_id
            ORDER BY sum(kwh) DESC, district_id LIMIT 5"""
     ),
+    "demand_of_period": _sql(
+        """SELECT district_id, round_even(sum(kwh), 6) AS total_demand_kwh FROM meter_readings
+           WHERE "timestamp" >= TIMESTAMP '1995-03-10 05:00:00' AND "timestamp" < TIMESTAMP '1995-04-02 13:00:00'
+           GROUP BY district_id"""
+    ),
     # supply
+    "supply_in_extreme_wind": _sql(
+        """SELECT district_id, round_even(sum(output_mw), 6) AS output_mw, count(*) AS plant_hours FROM plant_output
+           WHERE "timestamp" IN (SELECT "timestamp" FROM weather WHERE wind_condition = 'extreme'
+                                 AND precipitation_condition = 'drought' AND day("timestamp") <= 3)
+           GROUP BY district_id"""
+    ),
     "project_supply_pairs": _sql("SELECT district_id, output_mw FROM plant_output"),
     "enrich_with_weather": _sql("SELECT * FROM enriched", ENRICHED),
     "supply_by_district": _sum_by("enriched", "district_id", "output_mw", "total_supply_mw", ENRICHED),
@@ -414,9 +425,10 @@ edges AS (
     ),
     # weather, availability and load
     "hourly_spine": _sql(
-        """SELECT plant_id AS id, unnest(generate_series(first_hour, first_hour + to_hours(71), INTERVAL 1 HOUR))
-                  AS "timestamp"
-           FROM (SELECT plant_id, min("timestamp") AS first_hour FROM plant_output GROUP BY plant_id)"""
+        """SELECT id, strftime("timestamp", '%Y-%m') AS month, count(*) AS hours, min("timestamp") AS first_hour, max("timestamp") AS last_hour
+           FROM (SELECT plant_id AS id, unnest(generate_series(min("timestamp"), max("timestamp"), INTERVAL 1 HOUR)) AS "timestamp"
+                 FROM plant_output GROUP BY plant_id)
+           GROUP BY ALL"""
     ),
     "reporting_gaps": _sql(
         """SELECT plant_id AS id, before AS last_hour, "timestamp" AS next_hour,
@@ -522,6 +534,12 @@ ORACLES |= {
     "chart_supply_ranking": ORACLES["supply_by_plant_type"],
     "chart_emission_profile": ORACLES["emissions_by_hour"],
 }
+# the same results by another way
+ORACLES |= {
+    "meter_totals_by_bucket": ORACLES["meter_totals"],
+    "district_stats_by_year": ORACLES["district_stats"],
+    "published_row_counts": f"SELECT table_name AS name, row_count AS rows FROM ({ORACLES['full_run_row_counts']})",
+}
 # the saved results of a full run, and its summaries
 FULL_RUN = {
     "total_demand": "demand_by_district",

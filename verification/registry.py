@@ -15,11 +15,12 @@ from pyspark.sql import types as T
 from verification.adapters import GridTables
 from wattledger.functions.common import round_half_even
 from wattledger.operators import balance, carbon, demand, fraud, reports, supply, weather
-from wattledger.plans.full_run import OUTPUTS, read_saved, run_all
+from wattledger.plans import increments, meter_layout, publishing
+from wattledger.plans.full_run import OUTPUTS, Run, read_saved, run_all
 from wattledger.plans.scoring import meter_scores
 from wattledger.plans.storage import scratch_dir, written
 from wattledger.schemas import TABLES
-from wattledger.sources import readers, writers
+from wattledger.sources import periods, readers, writers
 
 QUERIES: dict[str, Callable[[GridTables], DataFrame]] = {}
 
@@ -152,9 +153,22 @@ def peak_demand_districts(g):
     return rounded(demand.peak_demand_districts(g.meter_readings))
 
 
+@query
+def demand_of_period(g):
+    """Demand by district over some weeks, from readings stored by day."""
+    return rounded(demand.demand_by_district(periods.in_period(g.readings_by_day, "1995-03-10 05:00:00", "1995-04-02 13:00:00")))
+
+
 # supply
 
 
+@query
+def supply_in_extreme_wind(g):
+    """Plant output of the hours of a drought with extreme wind, from output stored by day: only the days of those hours."""
+    hours = g.weather.where("wind_condition = 'extreme' AND precipitation_condition = 'drought' AND day(timestamp) <= 3")
+    return rounded(periods.in_hours(g.output_by_day, hours).groupBy("district_id").agg(F.sum("output_mw").alias("output_mw"), F.count(F.lit(1)).alias("plant_hours")))
+
+
 @query
 def project_supply_pairs(g):
     return supply.supply_pairs(g.plant_output)
@@ -242,7 +256,8 @@ def _totals_and_stats(g: GridTables) -> tuple[DataFrame, DataFrame]:
 
 
 def _zscores(g: GridTables) -> DataFrame:
-    return meter_scores(fraud.meter_district_sums(g.meter_readings), scratch_dir(g.spark))[1]
+    """Totals and statistics are written once per data folder, from readings in buckets."""
+    return g.shared("scores", lambda path: meter_scores(meter_layout.meter_district_sums(g.layout), path))[1]
 
 
 @query
@@ -260,6 +275,24 @@ def valid_district_stats(g):
     return rounded(fraud.valid_district_stats(_totals_and_stats(g)[1]))
 
 
+@query
+def meter_totals_by_bucket(g):
+    """As ``meter_totals``, from readings that are in buckets by meter and stay there."""
+    return rounded(fraud.one_district_per_meter(meter_layout.meter_district_sums(g.layout)))
+
+
+@query
+def district_stats_by_year(g):
+    """As ``district_stats``, from states that take in the readings of one year after the other."""
+    years = F.year("timestamp")
+    # a handful of years
+    known = sorted(r[0] for r in g.meter_readings.select(years.alias("year")).distinct().collect())
+    base, state = scratch_dir(g.spark), increments.no_readings(g.spark)
+    for year in known:
+        state = increments.with_readings(state, g.meter_readings.where(years == year), f"{base}/{year}")
+    return rounded(increments.district_stats(state))
+
+
 @query
 def meter_zscores(g):
     return rounded(_zscores(g))
@@ -406,9 +439,13 @@ def dash_grid_alerts(g):
 
 @query
 def hourly_spine(g):
-    """The planning period of every plant from its first recorded hour on."""
-    first = g.plant_output.groupBy(F.col("plant_id").alias("id")).agg(F.min("timestamp").alias("first_hour"))
-    return weather.hourly_spine(first, F.col("first_hour")).select("timestamp", "id")
+    """Every hour from each plant's first recorded hour to its last, counted by month."""
+    period = g.plant_output.groupBy(F.col("plant_id").alias("id")).agg(F.min("timestamp").alias("first"), F.max("timestamp").alias("last"))
+    spine = weather.recorded_spine(period, F.col("first"), F.col("last"))
+    month = F.date_format("timestamp", "yyyy-MM").alias("month")
+    return spine.groupBy("id", month).agg(
+        F.count(F.lit(1)).alias("hours"), F.min("timestamp").alias("first_hour"), F.max("timestamp").alias("last_hour")
+    )
 
 
 @query
@@ -452,9 +489,7 @@ def load_factor(g):
 @query
 def expected_consumption(g):
     """Every reading next to what its meter was expected to use."""
-    return weather.expected_consumption(
-        g.meter_readings.join(g.meters.select("meter_id", "base_consumption"), "meter_id")
-    )
+    return weather.expected_consumption(meter_layout.readings_of_meters(g.layout, "base_consumption"))
 
 
 @query
@@ -494,6 +529,20 @@ def full_run_row_counts(g):
     return readers.row_counts({name: _saved(g, name) for name in OUTPUTS})
 
 
+@query
+def published_row_counts(g):
+    """The manifest of a run that was published: rows of its results, counted as they were written."""
+
+    def publish(base: str) -> str:
+        for table in publishing.RAW_TABLES:
+            writers.write_parquet(getattr(g, table), f"{base}/raw/{table}.parquet")
+        publishing.publish_run(Run(g.spark, f"{base}/raw", f"{base}/out", "parquet", "parquet"), "first")
+        return f"{base}/out"
+
+    out = g.shared("published", publish)
+    return publishing.manifest(g.spark, out, publishing.published_run(g.spark, out))
+
+
 def _register_full_run() -> None:
     for name in OUTPUTS:
         QUERIES[f"full_run_{name}"] = lambda g, name=name: rounded(_saved(g, name))

@@ -30,6 +30,18 @@ def hourly_spine(
     return spread.withColumn("timestamp", F.explode(timestamps))
 
 
+def recorded_spine(dimension: DataFrame, first: Column, last: Column, piece: str = "31 days") -> DataFrame:
+    """Every row of ``dimension`` at every hour from its ``first`` to its ``last``, both included, as an added ``timestamp``.
+
+    A row's period is cut into pieces before its hours are listed, so that no row holds more hours at once than a piece has.
+    Rows without a period, or with one that ends before it begins, have no hours.
+    """
+    until = F.least(F.col("_until") + F.expr(f"INTERVAL {piece}") - F.expr("INTERVAL 1 HOUR"), last)
+    some = dimension.where(first <= last)
+    pieces = some.withColumn("_until", F.explode(F.sequence(first, last, F.expr(f"INTERVAL {piece}"))))
+    return pieces.withColumn("timestamp", F.explode(F.sequence(F.col("_until"), until, F.expr("INTERVAL 1 HOUR")))).drop("_until")
+
+
 def reporting_gaps(records: DataFrame, key: str) -> DataFrame:
     """Hours between two records of the same ``key`` that have none: id, last_hour, next_hour and missing_hours.
 
