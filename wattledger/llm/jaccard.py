@@ -11,8 +11,8 @@ Small sets are enumerated, large sets scan inverted lists, and the boundary betw
    small n the number of those subsets is held against the lengths of the lists to scan.
 4. Light sets, up to the boundary, go to the keys of their subsets. Under one key all sets share c elements; who links at c is
    a matter of sizes, and if any two of them do, both link with the smallest: a star holds them together.
-5. Heavy sets, beyond the boundary, scan their lists. Members are first held against one pivot of their list and size class, and
-   what links is joined to components. Then only pairs across components are left; a list is cut into blocks for them, so that
+5. Heavy sets, beyond the boundary, scan their lists. Members are first held against one pivot of their list and size class, the
+   one with the fewest rarer shingles, which is the most like all others, and what links is joined to components. Then only pairs across components are left; a list is cut into blocks for them, so that
    no task has more than two blocks of it. Candidates are confirmed on their whole sets.
 
 Links are a spanning set: every link between different texts joins documents that the result has in one component.
@@ -39,10 +39,11 @@ from wattledger.plans.storage import scratch_dir, written
 
 WORDS = 4
 PERCENT = 85
-SLICE = 8 << 20  # bytes of text whose hashes are packed together
+SLICE = 2 << 20  # bytes of text whose hashes are packed together
 PART = 1 << 20  # bytes of a longer text that are split into words together
-BUCKET_BYTES = 24 << 20  # of text, for each bucket of hashes
+BUCKET_BYTES = 12 << 20  # of text, for each bucket of hashes
 MAX_BUCKETS = 1 << 10  # dealt out at once; more are dealt out in two steps
+MAX_REPLIES = 1 << 12  # ranges of texts that counts are sent back to
 BLOCK = 2_000  # members of a list in one block
 LIGHT = 64  # sizes that the boundary may have
 SALTED = 500  # pairs of one set that go to one key
@@ -162,9 +163,10 @@ def _screened(words: int, buckets: int, width: str):
                 owner = np.repeat(np.arange(len(keys)), [len(sets[i]) for i in first])
                 del sets
                 order = np.argsort(hashes)
-                hashes, owner = hashes[order], owner[order]
+                hashes, owner = hashes[order], owner[order].astype(np.int32)
                 new = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])) if len(hashes) else np.zeros(0, np.int64)
                 rank = np.arange(len(hashes)) - np.repeat(new, np.diff(np.append(new, len(hashes))))
+                del order, new
                 known, counts = np.unique(owner[rank > 1], return_counts=True)
                 rows = [(int(c), None, keys[k : k + 1].tobytes(), b"", b"") for k, c in zip(known.tolist(), counts.tolist(), strict=True)]
                 if rows:
@@ -204,7 +206,7 @@ def _dealt_again(coarse: int, fine: int):
             for row in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True):
                 held.append(row)
                 size += len(row[2])
-                if size >= 8 * SLICE:
+                if size >= 4 * SLICE:
                     yield rows()
                     held, size = [], 0
         if held:
@@ -213,8 +215,8 @@ def _dealt_again(coarse: int, fine: int):
     return run
 
 
-def _shared_counts(width: str):
-    """k1, shared: of each text the hashes of one bucket that another text has too."""
+def _shared_counts(width: str, replies: int):
+    """Of each text the number of hashes of one bucket that another text has too, packed for each of ``replies`` ranges of texts."""
 
     def counts(rows: list[tuple[bytes, bytes, bytes]]) -> pa.RecordBatch:
         hashes, keys = _unpacked(rows, width)
@@ -230,7 +232,7 @@ def _shared_counts(width: str):
         group, keys = group[order], keys[order]
         once = np.concatenate([[True], (group[1:] != group[:-1]) | (keys[1:] != keys[:-1])])[: len(keys)]
         known, n = np.unique(keys[once], return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(known, pa.int64()), pa.array(n, pa.int64())], ["k1", "shared"])
+        return _replied(known, n, replies)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, held = None, []
@@ -247,6 +249,40 @@ def _shared_counts(width: str):
     return run
 
 
+def _replied(keys: np.ndarray, shared: np.ndarray, replies: int) -> pa.RecordBatch:
+    """reply, keys, shared: one row for each range of texts."""
+    reply = (keys.view(np.uint64) % np.uint64(replies)).astype(np.int64)
+    order = np.argsort(reply, kind="stable")
+    reply, keys, shared = reply[order], keys[order], shared[order].astype("<u4")
+    cuts = [0, *(np.flatnonzero(np.diff(reply)) + 1).tolist(), len(reply)]
+    spans = [(i, j) for i, j in zip(cuts, cuts[1:], strict=False) if j > i]
+    columns = [pa.array([int(reply[i]) for i, _ in spans], pa.int32()), *(pa.array([x[i:j].tobytes() for i, j in spans], pa.binary()) for x in (keys, shared))]
+    return pa.RecordBatch.from_arrays(columns, ["reply", "keys", "shared"])
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """k1, shared: the sum of all replies to each text of a range, or of several ranges one after the other."""
+
+    def sums(rows: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+        keys = np.frombuffer(b"".join(r[0] for r in rows), "<i8")
+        known, place = np.unique(keys, return_inverse=True)
+        n = np.bincount(place, np.frombuffer(b"".join(r[1] for r in rows), "<u4"), len(known)).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(known), pa.array(n)], ["k1", "shared"])
+
+    current, held, size = None, [], 0
+    for batch in batches:
+        for reply, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if held and (reply != current or size > 64 << 20):
+                # sums of a part: a text may then come twice, and is summed again
+                yield sums(held)
+                held, size = [], 0
+            current = reply
+            held.append(tuple(row))
+            size += len(row[0])
+    if held:
+        yield sums(held)
+
+
 def _sets(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -284,7 +320,10 @@ def candidate_sets(documents: DataFrame, words: int, percent: int, bucket_bytes:
         dealt = map_arrow(packed, _dealt_again(coarse, fine), "bucket int, keys binary, counts binary, hashes binary")
         place = F.spark_partition_id() * fine + F.col("bucket")
         packed = dealt.withColumn("bucket", place).repartitionById(coarse * fine, "bucket")
-    counts = map_arrow(packed, _shared_counts(width), "k1 long, shared long").unionByName(screen.where("shared IS NOT NULL").select("k1", "shared"))
+    replies = int(min(MAX_REPLIES, 1 + buckets // 8))
+    replied = map_arrow(packed, _shared_counts(width, replies), "reply int, keys binary, shared binary")
+    replied = replied.repartitionById(replies, "reply")
+    counts = map_arrow(replied, _summed, "k1 long, shared long").unionByName(screen.where("shared IS NOT NULL").select("k1", "shared"))
     counts = written(counts.groupBy("k1").agg(F.sum("shared").alias("shared")), f"{base}/shared")
     left = rows.where("n > 0").join(counts, "k1").where(F.col("shared") * 100 >= F.col("n") * percent).select("k1", "k2").distinct()
     left = broadcast_within(written(left, f"{base}/left"))
@@ -431,7 +470,7 @@ def heavy_links(lists: DataFrame, sets: DataFrame, light: DataFrame, boundary: i
     base = scratch_dir(sets.sparkSession)
     size_class = F.floor(F.log("n") / F.lit(0.05)).alias("class")
     classed = lists.select("*", size_class)
-    pivots = classed.groupBy("hash", "class").agg(F.min(F.struct("cid", "n", "pos")).alias("pivot"), F.max("n").alias("largest"), F.count(F.lit(1)).alias("members"))
+    pivots = classed.groupBy("hash", "class").agg(F.min(F.struct("pos", "cid", "n")).alias("pivot"), F.max("n").alias("largest"), F.count(F.lit(1)).alias("members"))
     pivots = pivots.where((F.col("members") > 1) & (F.col("largest") > boundary)).select("hash", "class", "pivot")
     met = classed.join(pivots, ["hash", "class"]).where((F.col("cid") != F.col("pivot.cid")) & (F.greatest("n", "pivot.n") > boundary))
     met = met.where(_may_link(F.col("n"), F.col("pos"), F.col("pivot.n"), F.col("pivot.pos"), percent))
