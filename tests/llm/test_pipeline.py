@@ -9,7 +9,8 @@ import __spark_entry__ as entry_point
 import corpus_pipeline
 from tests.compare import duckdb_result, spark_result
 from tests.llm.conftest import DOCUMENTS
-from tests.llm.test_dedup import plain_cut, plain_near_duplicates
+from tests.llm.test_dedup import plain_cut
+from tests.llm.test_near_copies import plain_groups
 from tests.llm.test_tokens import check_packing
 from wattledger.llm import quality, toxicity
 from wattledger.llm.queries import ORACLES, QUERIES
@@ -66,7 +67,7 @@ def test_every_stage_does_its_work(spark):
             kept = {r["doc_id"] for r in quality.quality_rules(given, labels).where("kept").collect()}
             assert sorted(rows) == sorted(r for r in before if r[0] in kept) and len(rows) < len(before)
         elif number == 2:
-            first = {i for i, _, low in plain_near_duplicates(before) if i == low}
+            first = {i for i, low in plain_groups(before) if i == low}
             assert sorted(rows) == sorted(r for r in before if r[0] in first) and len(rows) < len(before)
         elif number == 3:
             cut = {i: (gone, text) for i, _, gone, text in plain_cut(before, 50)}
