@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from wattledger.llm.common import table
+from wattledger.llm.near_copies import one_of_each_group
 from wattledger.llm.packing import pack_documents
 from wattledger.llm.quality import passes_quality
-from wattledger.llm.simhash import without_duplicates
 from wattledger.llm.substring import without_repeats
 from wattledger.llm.toxicity import is_clean
 from wattledger.plans.storage import scratch_dir, written
@@ -28,8 +28,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near-duplicates."""
-    return without_duplicates(docs)
+    """One document of each group of near copies: SimHash links, and five-word Jaccard links of 0.8 and more."""
+    return one_of_each_group(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
