@@ -57,6 +57,27 @@ def reporting_gaps(records: DataFrame, key: str) -> DataFrame:
     return gaps.where("missing_hours > 0").select("id", "last_hour", "next_hour", "missing_hours")
 
 
+def reporting_gaps_by_month(records: DataFrame, key: str) -> DataFrame:
+    """``reporting_gaps`` with a key's hours spread over its months, so that few keys still make many tasks.
+
+    Gaps inside a month are found in the month. Between months only the first and the last hour of each count: one row for each
+    key and month, which are put in order and compared with the month before.
+    """
+    hour = F.date_trunc("HOUR", "timestamp").cast("timestamp_ntz")
+    known = records.where(F.col(key).isNotNull() & F.col("timestamp").isNotNull())
+    month = (F.year("next_hour") * 12 + F.month("next_hour")).alias("month")
+    hours = known.select(F.col(key).alias("id"), hour.alias("next_hour")).select("id", "next_hour", month)
+    distinct = hours.distinct()
+    within = F.lag("next_hour").over(Window.partitionBy("id", "month").orderBy("next_hour"))
+    inside = distinct.withColumn("last_hour", within)
+    ends = distinct.groupBy("id", "month").agg(F.min("next_hour").alias("next_hour"), F.max("next_hour").alias("latest"))
+    between = ends.withColumn("last_hour", F.lag("latest").over(Window.partitionBy("id").orderBy("month")))
+    missing = F.timestamp_diff("HOUR", F.col("last_hour"), F.col("next_hour")) - 1
+    columns = ["id", "last_hour", "next_hour"]
+    gaps = inside.select(columns).unionByName(between.select(columns)).withColumn("missing_hours", missing)
+    return gaps.where("missing_hours > 0")
+
+
 def weather_factors(weather: DataFrame) -> DataFrame:
     """Factors of the named conditions; NULL for an unknown name."""
     return weather.select(
