@@ -154,3 +154,52 @@ def test_concurrent_actions_keep_the_job_group(spark):
     finally:
         spark.sparkContext.setLocalProperty("spark.job.description", None)
     assert found == ["mine"] * 3
+
+
+def test_whole_and_damaged_rows_add_up_to_the_lines(spark, tmp_path):
+    """Two files with damaged rows in the middle and at both ends, an empty one and one with only a header."""
+    from wattledger.sources.readers import split_rows
+
+    header = "timestamp,meter_id,district_id,meter_type,kwh,voltage,power_factor"
+    good = [f"2024-06-01 0{i}:00:00,m{i},d1,residential,{i}.5,240.0,0.9" for i in range(9)]
+    bad = ["2024-06-01 00:00:00,m,d1,residential,much,240.0,0.9", "not a time,m,d,r,1.0,1.0,1.0", "2024-06-01 00:00:00,m1", ",,,,,,,,,"]
+    files = {"a.csv": [bad[0], *good[:4], bad[1], *good[4:], bad[2]], "b.csv": [*good, bad[3]], "c.csv": [], "d.csv": good[:1]}
+    raw = tmp_path / "raw.csv"
+    raw.mkdir()
+    for name, lines in files.items():
+        (raw / name).write_text("\n".join([header, *lines]) + "\n")
+    whole, damaged = split_rows(spark, "meter_readings", str(raw), str(tmp_path / "out"))
+    rows = damaged.collect()
+    assert whole.count() + len(rows) == sum(map(len, files.values()))
+    assert sorted(r["row_text"] for r in rows) == sorted(bad)
+    for r in rows:
+        name = r["file"].rsplit("/", 1)[1]
+        assert r["block"] == 0 and files[name][r["line"]] == r["row_text"]
+    assert "_corrupt_record" not in whole.columns and whole.where("kwh IS NULL").count() == 0
+    with pytest.raises(Exception, match="(?i)exists"):
+        split_rows(spark, "meter_readings", str(raw), str(tmp_path / "out"))
+
+
+def test_blocks_count_their_own_rows(spark, tmp_path):
+    """A file cut into blocks, several in one task: places are unique and within their block."""
+    from wattledger.sources.readers import split_rows
+
+    header = "timestamp,meter_id,district_id,meter_type,kwh,voltage,power_factor"
+    lines = [f"2024-06-01 00:00:00,m{i},d1,residential,{'much' if i % 5 == 0 else '1.0'},240.0,0.9" for i in range(2000)]
+    (tmp_path / "raw.csv").write_text("\n".join([header, *lines]) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        whole, damaged = split_rows(spark, "meter_readings", str(tmp_path / "raw.csv"), str(tmp_path / "out"))
+        rows = damaged.collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert whole.count() == 1600 and len(rows) == 400
+    blocks = sorted({r["block"] for r in rows})
+    assert len(blocks) > 3 and len({(r["block"], r["line"]) for r in rows}) == 400
+    # the rows of a block follow those of the block before
+    starts = {}
+    for block in blocks:
+        starts[block] = min(int(r["row_text"].split(",m")[1].split(",")[0]) - r["line"] for r in rows if r["block"] == block)
+    for r in rows:
+        assert starts[r["block"]] + r["line"] == int(r["row_text"].split(",m")[1].split(",")[0])

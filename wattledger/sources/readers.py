@@ -42,6 +42,29 @@ def read_table(spark: SparkSession, table: str, path: str, fmt: str = "csv", on_
     return read_csv(spark, path, TABLES[table], on_bad_rows)
 
 
+def split_rows(spark: SparkSession, table: str, path: str, folder: str) -> tuple[DataFrame, DataFrame]:
+    """(whole rows, damaged rows) of a CSV table, both written to ``folder`` by one scan of the files.
+
+    Whole rows have the table's columns. Damaged ones are told by file, block, position and text: ``block`` is where the file's
+    block that holds the row begins, in bytes, and ``line`` counts the rows of the table from there, header left out. Blocks are
+    as a session cuts files, so a place is exact for the session that wrote it; ``row_text`` finds the row in any other.
+    """
+    read = read_table(spark, table, path, on_bad_rows="keep")
+    columns = [c for c in read.columns if c != CORRUPT]
+    # an id counts the rows of a task from its number on, in the order of the file
+    place = F.struct(
+        F.input_file_name().alias("file"), F.input_file_block_start().alias("block"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("line")
+    )
+    marked = read.withColumn("place", place).withColumn("damaged", F.col(CORRUPT).isNotNull())
+    marked.write.mode("errorifexists").partitionBy("damaged").parquet(f"{folder}/rows")
+    stored = spark.read.schema(marked.schema).parquet(f"{folder}/rows")
+    # a task may read several blocks: each counts from its first row; as many rows as there are blocks
+    first = F.broadcast(stored.groupBy("place.file", "place.block").agg(F.min("place.line").alias("first")))
+    bad = stored.where("damaged").select("place.file", "place.block", "place.line", F.col(CORRUPT).alias("row_text"))
+    bad = bad.join(first, ["file", "block"]).select("file", "block", (F.col("line") - F.col("first")).alias("line"), "row_text")
+    return stored.where("NOT damaged").select(columns), bad
+
+
 def read_meter_readings(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     return read_table(spark, "meter_readings", path, fmt)
 
