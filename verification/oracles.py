@@ -503,6 +503,10 @@ edges AS (
         """SELECT 'meter_readings' AS table_name, count(*) AS row_count, count(*) FILTER (l_partkey % 10 = 3)
                     AS malformed_rows FROM lineitem"""
     ),
+    "split_damaged_rows": _sql(
+        """SELECT 'whole' AS kind, count(*) AS row_count, round_even(sum(kwh), 6) AS kwh FROM meter_readings WHERE meter_id NOT LIKE '%3'
+           UNION ALL SELECT 'damaged', count(*), CAST(0 AS DOUBLE) FROM meter_readings WHERE meter_id LIKE '%3'"""
+    ),
     # everything
     "full_run_row_counts": _sql(
         """SELECT 'total_demand' AS table_name, count(DISTINCT district_id) AS row_count FROM meter_readings
@@ -538,6 +542,8 @@ ORACLES |= {
 ORACLES |= {
     "meter_totals_by_bucket": ORACLES["meter_totals"],
     "district_stats_by_year": ORACLES["district_stats"],
+    "enrich_hot_hours": ORACLES["enrich_with_weather"],
+    "reporting_gaps_by_month": ORACLES["reporting_gaps"],
     "published_row_counts": f"SELECT table_name AS name, row_count AS rows FROM ({ORACLES['full_run_row_counts']})",
 }
 # the saved results of a full run, and its summaries

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from verification.adapters import GridTables
 from wattledger.functions.common import round_half_even
 from wattledger.operators import balance, carbon, demand, fraud, reports, supply, weather
-from wattledger.plans import increments, meter_layout, publishing
+from wattledger.plans import hot_hours, increments, meter_layout, publishing
 from wattledger.plans.full_run import OUTPUTS, Run, read_saved, run_all
 from wattledger.plans.scoring import meter_scores
 from wattledger.plans.storage import scratch_dir, written
@@ -109,12 +109,31 @@ def sink_parquet_roundtrip(g):
     return g.spark.read.schema(hourly.schema).parquet(path)
 
 
+def _damaged_readings(g: GridTables) -> str:
+    """CSV of readings of which every tenth meter's energy is not a number."""
+
+    def write(path: str) -> str:
+        damaged = F.when(F.col("meter_id").rlike("3$"), F.lit("much")).otherwise(F.col("kwh").cast("string"))
+        writers.write_csv(g.meter_readings.withColumn("kwh", damaged), path)
+        return path
+
+    return g.shared("damaged.csv", write)
+
+
+@query
+def split_damaged_rows(g):
+    """Whole and damaged readings, told apart by one scan, with what the whole ones sum to."""
+    whole, bad = readers.split_rows(g.spark, "meter_readings", _damaged_readings(g), scratch_dir(g.spark))
+    counts = [
+        whole.agg(F.lit("whole").alias("kind"), F.count(F.lit(1)).alias("row_count"), F.sum("kwh").alias("kwh")),
+        bad.agg(F.lit("damaged").alias("kind"), F.count("row_text").alias("row_count"), F.lit(0.0).alias("kwh")),
+    ]
+    return rounded(counts[0].unionByName(counts[1]))
+
+
 @query
 def malformed_row_counts(g):
-    """Readings of which every tenth meter's energy is not a number."""
-    damaged = F.when(F.col("meter_id").rlike("3$"), F.lit("much")).otherwise(F.col("kwh").cast("string"))
-    path = f"{scratch_dir(g.spark)}/damaged.csv"
-    writers.write_csv(g.meter_readings.withColumn("kwh", damaged), path)
+    path = _damaged_readings(g)
     return readers.malformed_row_counts(
         {"meter_readings": readers.read_table(g.spark, "meter_readings", path, on_bad_rows="keep")}
     )
@@ -179,6 +198,13 @@ def enrich_with_weather(g):
     return supply.enrich_with_weather(g.plant_output, g.weather_factors)
 
 
+@query
+def enrich_hot_hours(g):
+    """As ``enrich_with_weather``, with every hour of more than 20 rows in the result split over several keys."""
+    path = f"{scratch_dir(g.spark)}/hot"
+    return hot_hours.enrich_split(g.plant_output, g.weather, path, rows_per_key=20)
+
+
 @query
 def supply_by_district(g):
     return rounded(supply.supply_by_district(g.weighted_output))
@@ -453,6 +479,12 @@ def reporting_gaps(g):
     return weather.reporting_gaps(g.plant_output, "plant_id")
 
 
+@query
+def reporting_gaps_by_month(g):
+    """As ``reporting_gaps``, by plant and month with the ends of months stitched."""
+    return weather.reporting_gaps_by_month(g.plant_output, "plant_id")
+
+
 @query
 def weather_factors(g):
     return weather.weather_factors(g.weather)
