@@ -7,11 +7,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from tests.llm.conftest import DOCUMENTS, by_key, text_of
-from wattledger.llm import counts, packing, records
+from wattledger.llm import counts, packing, records, tokens
 from wattledger.llm.tokens import Encoder, default_path
 
 FILES = ["byte_bpe_50k.json", "word_bpe_49k.json"]
@@ -44,6 +45,23 @@ def test_units_give_the_ids_of_the_library(name):
         assert got == plain_ids(name, some)
 
 
+def test_columns_give_the_ids_of_the_library(monkeypatch):
+    """Texts cut into pieces all at once, in windows of any length, with nulls and in slices of a column."""
+    rnd = random.Random(3)
+    words = ["a", "the", "Don't", "'tis", "we'LL", "x1", "a12b", "!!'s", "é", "ÄÖÜ×÷ß", "naïve'S", "中文", "$5.00"]
+    texts = [*odd_texts(2000), *("".join(rnd.choice(words) + rnd.choice(["", " ", "  ", "\n", "\n\n ", " \t"]) for _ in range(rnd.randint(0, 40))) for _ in range(1000))]
+    for name in FILES:
+        expected = plain_ids(name, texts)
+        for window in (16, 100, 4 << 20):
+            monkeypatch.setattr(tokens, "_WINDOW", window)
+            encoder = Encoder(default_path(name), limit=300)
+            column = pa.array([None, *texts])
+            got = [x.tolist() for start in range(1, len(texts), 7) for x in encoder.encode_column(column[start : start + 7])]
+            assert got == expected, window
+            assert [x.tolist() for x in encoder.encode_column(column[:3])] == [[], *expected[:2]]
+            assert encoder.encode_column(pa.array([], pa.string())) == []
+
+
 def test_numbers_survive_packing():
     for numbers in ([], [0, 254, 255, 256, 70_000], [255] * 3):
         assert counts.unpack(counts.pack(np.array(numbers, dtype=np.int64))).tolist() == numbers

@@ -18,13 +18,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattledger.llm.common import map_arrow, slices, texts_of
+from wattledger.llm.common import map_arrow, slices
 from wattledger.llm.tokens import default_path, encoder
 from wattledger.plans.storage import scratch_dir, written
 
 TOKENIZER = "byte_bpe_50k.json"
 CAPACITY = 1024
 END_ID = 2
+SLICE = 4 << 20  # bytes of text encoded together
 TOLERANCES = (0, 0.002, 0.008, 0.03, 0.06, 0.12)  # shares of the capacity that descents leave free
 
 Filling = tuple[int, ...]  # lengths, descending
@@ -195,22 +196,22 @@ def solve(counts: dict[int, int], capacity: int = CAPACITY, max_nodes: int = 5_0
 
 
 def _pieces(path: str, capacity: int, end_id: int):
-    end = np.array([end_id], dtype="<u4").tobytes()
+    end = np.array([end_id], dtype="<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         seen: Counter[int] = Counter()
         for batch in batches:
-            for part in slices(batch, 1 << 20):
+            for part in slices(batch, SLICE):
                 rows = []
-                for doc_id, ids in zip(part.column(0).to_pylist(), encoder(path).encode([t.decode() for t in texts_of(part)]), strict=True):
-                    data = memoryview(ids + end)
-                    n = len(data) // 4
+                for doc_id, ids in zip(part.column(0).to_pylist(), encoder(path).encode_column(part.column(1)), strict=True):
+                    data = np.concatenate([ids, end])
+                    n = len(data)
                     first = n % capacity or capacity
                     starts = [0, *range(first, n, capacity)]
                     for piece, (start, stop) in enumerate(zip(starts, [*starts[1:], n], strict=True)):
                         length = stop - start
-                        rows.append((task, doc_id, piece, start, length, zlib.crc32(data[4 * start : 4 * stop]), seen[length]))
+                        rows.append((task, doc_id, piece, start, length, zlib.crc32(data[start:stop]), seen[length]))
                         seen[length] += 1
                 columns = list(zip(*rows, strict=True))
                 kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]

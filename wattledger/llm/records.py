@@ -28,12 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wattledger.llm.common import map_arrow, slices, texts_of
+from wattledger.llm.common import map_arrow, slices
 from wattledger.llm.tokens import default_path, encoder
 from wattledger.plans.storage import scratch_dir
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
+SLICE = 2 << 20  # bytes of text encoded together
 SHARD_BYTES = 16 << 20  # of text; a shard is written and read by one task
 
 # fixed value: the customary mask of record files
@@ -78,13 +79,13 @@ def parse(data, offset: int = 0) -> tuple[int | None, np.ndarray, int]:
 
 def _frames(path: str, end_id: int, bounds: list[int]):
     edges = np.array(bounds, dtype=np.int64)
-    end = np.array([end_id], dtype="<u4").tobytes()
+    end = np.array([end_id], dtype="<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 1 << 20):
+            for part in slices(batch, SLICE):
                 doc_ids = part.column(0).to_pylist()
-                ids = [np.frombuffer(x + end, "<u4") for x in encoder(path).encode([t.decode() for t in texts_of(part)])]
+                ids = [np.concatenate([x, end]) for x in encoder(path).encode_column(part.column(1))]
                 keys = np.array([_NO_ID if d is None else d for d in doc_ids], dtype=np.int64)
                 frames = [frame(d, x) for d, x in zip(doc_ids, ids, strict=True)]
                 yield pa.RecordBatch.from_arrays(
