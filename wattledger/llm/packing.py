@@ -26,6 +26,7 @@ TOKENIZER = "byte_bpe_50k.json"
 CAPACITY = 1024
 END_ID = 2
 SLICE = 4 << 20  # bytes of text encoded together
+SMALL = 64  # lengths of an instance for which the bound is worked out anew at each node
 TOLERANCES = (0, 0.002, 0.008, 0.03, 0.06, 0.12)  # shares of the capacity that descents leave free
 
 Filling = tuple[int, ...]  # lengths, descending
@@ -124,6 +125,50 @@ def completions(counts: dict[int, int], largest: int, capacity: int, most: int =
     return kept
 
 
+def fillings(counts: dict[int, int], largest: int, capacity: int) -> Iterator[Filling]:
+    """All undominated fillings that hold one piece of length ``largest``, those with the least waste first.
+
+    They are found one by one as they are asked for. Only such are looked for to which no piece left could be added, along
+    sums that the shorter pieces can make; of equal waste, those with the longest pieces come first. A filling that an
+    earlier one dominates is left out.
+    """
+    room = capacity - largest
+    have = {x: n - (x == largest) for x, n in counts.items() if x <= room}
+    sizes = sorted((x for x, n in have.items() if n), reverse=True)
+    # sums[i]: which sums of pieces sizes[i:] there are, as bits
+    sums = [1]
+    for size in reversed(sizes):
+        made, times, left = sums[-1], 1, min(have[size], room // size)
+        while left:
+            step = min(times, left)
+            made |= made << step * size
+            left -= step
+            times *= 2
+        sums.append(made & (1 << room + 1) - 1)
+    sums.reverse()
+
+    def exactly(i: int, rest: int) -> Iterator[Filling]:
+        if not rest:
+            yield ()
+            return
+        if i == len(sizes) or not sums[i] >> rest & 1:
+            return
+        for k in range(min(have[sizes[i]], rest // sizes[i]), -1, -1):
+            for tail in exactly(i + 1, rest - k * sizes[i]):
+                yield (sizes[i],) * k + tail
+
+    given: list[Filling] = []
+    for waste in range(room + 1):
+        for tail in exactly(0, room - waste):
+            used = Counter(tail)
+            if any(have[x] > used[x] for x in sizes if x <= waste):
+                continue
+            filling = (largest, *tail)
+            if not any(_dominates(g, filling) for g in given):
+                given.append(filling)
+                yield filling
+
+
 def dive(counts: dict[int, int], capacity: int, tolerance: int) -> list[tuple[Filling, int]]:
     """One descent of the search: the most promising filling each time, as often as the counts allow."""
     left, out = dict(counts), []
@@ -143,9 +188,11 @@ def solve(counts: dict[int, int], capacity: int = CAPACITY, max_nodes: int = 5_0
     """Fillings and how many sequences use each, together exactly ``counts``.
 
     Best-fit decreasing gives the first incumbent, descents with several tolerances may give better ones. The search then
-    completes a sequence around the longest piece left, uses that filling as often as the counts allow, and turns back
-    where the waste so far already rules out a better packing than the incumbent. It ends at the lower bound, when all is
-    searched, or after ``max_nodes`` fillings: the result is never worse than best fit.
+    completes a sequence around the longest piece left with each undominated filling, as often as the counts allow or once,
+    and turns back where the waste so far, or the bound of what is left, rules out a better packing than the incumbent. It
+    ends at the lower bound or when all is searched, and has then found the fewest sequences; or after ``max_nodes``
+    fillings, which large instances reach: the result then is the best so far, never worse than best fit, and at most its
+    difference from ``lower_bound`` from the fewest.
     """
     counts = {int(length): int(n) for length, n in counts.items() if n}
     if not counts:
@@ -154,44 +201,56 @@ def solve(counts: dict[int, int], capacity: int = CAPACITY, max_nodes: int = 5_0
         raise ValueError("lengths must be 1 to capacity")
     incumbent = best_fit_decreasing(counts, capacity)
     bins, least = sum(n for _, n in incumbent), lower_bound(counts, capacity)
-    tolerance = 0
     for allowed in TOLERANCES:
         if bins > least:
             found = dive(counts, capacity, int(allowed * capacity))
             if sum(n for _, n in found) < bins:
-                incumbent, bins, tolerance = found, sum(n for _, n in found), int(allowed * capacity)
+                incumbent, bins = found, sum(n for _, n in found)
     total = sum(length * n for length, n in counts.items())
     left = dict(counts)
     path: list[tuple[Filling, int]] = []
-    waste = 0
-    stack = [iter(completions(left, max(left), capacity, 3, tolerance))]
-    nodes = 0
+    waste = used = nodes = 0
+
+    def choices() -> Iterator[tuple[Filling, int]]:
+        for filling in fillings(left, max(left), capacity):
+            most = min(left[length] // k for length, k in Counter(filling).items())
+            yield filling, most
+            if most > 1:
+                yield filling, 1
+
+    stack = [choices()]
     while stack and bins > least and nodes < max_nodes:
-        filling = next(stack[-1], None)
-        if filling is None:
+        choice = next(stack[-1], None)
+        if choice is None:
             stack.pop()
             if path:
                 undone, times = path.pop()
                 waste -= times * (capacity - sum(undone))
+                used -= times
                 for length in undone:
                     left[length] = left.get(length, 0) + times
             continue
         nodes += 1
-        times = min(left[length] // k for length, k in Counter(filling).items())
+        filling, times = choice
         added = times * (capacity - sum(filling))
         if waste + added > (bins - 1) * capacity - total:
             continue
+        rest = Counter(left)
+        for length, k in Counter(filling).items():
+            rest[length] -= times * k
+        rest = {length: n for length, n in rest.items() if n}
+        if rest and len(rest) <= SMALL and used + times + lower_bound(rest, capacity) >= bins:
+            continue
         waste += added
+        used += times
         path.append((filling, times))
-        for length, k in Counter(filling).items():
-            left[length] -= times * k
-            if not left[length]:
-                del left[length]
+        left.clear()
+        left.update(rest)
         if left:
-            stack.append(iter(completions(left, max(left), capacity, 3, tolerance)))
+            stack.append(choices())
         else:
             stack.append(iter(()))
-            bins, incumbent = sum(n for _, n in path), list(path)
+            bins, incumbent = used, list(path)
     return incumbent
 
 
