@@ -70,6 +70,38 @@ def test_few_candidates_and_none(spark):
     assert ann.nearest_neighbours(one, one).collect() == []
 
 
+def test_queries_of_other_lengths_take_no_answer_away(spark):
+    """The index says which length counts, however many queries have another one."""
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(60)]
+    queries = rows[:3] + [(100 + i, [1.0, 2.0]) for i in range(5)] + [(200, [1.0] * 9)]
+    got = found(ann.nearest_neighbours(spark.createDataFrame(rows, VECTORS), spark.createDataFrame(queries, VECTORS), share=1.0, centroids=4))
+    expected = plain_neighbours(rows, rows[:3])
+    assert {q: [x[:2] for x in near] for q, near in got.items()} == {q: [x[:2] for x in near] for q, near in expected.items()}
+
+
+@pytest.mark.parametrize("offset", [1e6, -3e8])
+def test_vectors_far_from_the_origin(spark, offset):
+    """Small distances between large components: the whole index is still exact, ties included."""
+    rng = np.random.default_rng(5)
+    rows = [(i, (offset + rng.normal(size=6) * 0.01).tolist()) for i in range(400)]
+    rows += [(1000 + i, rows[7][1]) for i in range(30)]
+    queries = [r for r in rows if r[0] % 10 == 0 or r[0] == 7]
+    got = found(ann.nearest_neighbours(spark.createDataFrame(rows, VECTORS), spark.createDataFrame(queries, VECTORS), share=1.0, centroids=8))
+    expected = plain_neighbours(rows, queries)
+    assert {q: [x[:2] for x in near] for q, near in got.items()} == {q: [x[:2] for x in near] for q, near in expected.items()}
+
+
+def test_queries_go_to_shards_of_visited_cells_only():
+    rng = np.random.default_rng(6)
+    sizes = rng.integers(0, 3, 30)
+    index = ann.MultiIndex((np.zeros((6, 1)), np.zeros((5, 1))), sizes, np.arange(30) // 2, np.where(np.arange(30) % 7 == 3, 3, 1))
+    for _ in range(20):
+        visited = rng.random(30) < 0.2
+        expected = {s for c in range(30) if visited[c] and sizes[c] for s in range(index.shard[c], index.shard[c] + index.parts[c])}
+        assert index.shards_of(visited).tolist() == sorted(expected)
+
+
 def test_extra_columns_do_not_matter(spark):
     df = spark.createDataFrame(awkward_vectors(40), VECTORS)
     plain = found(ann.nearest_neighbours(df, df, share=1.0))

@@ -90,15 +90,25 @@ class MultiIndex:
         return out
 
 
-def usable_vectors(embeddings: DataFrame) -> tuple[DataFrame, int]:
+    def shards_of(self, visited: np.ndarray) -> np.ndarray:
+        """The shards that hold entries of visited cells."""
+        cells = np.flatnonzero(visited & (self.sizes > 0))
+        parts = self.parts[cells]
+        within = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+        return np.unique(np.repeat(self.shard[cells], parts) + within)
+
+
+def usable_vectors(embeddings: DataFrame, dimension: int | None = None) -> tuple[DataFrame, int]:
     """(id, vector as doubles) of the rows that take part, and their common length.
 
     Left out: null ids and vectors, vectors that hold null or non-finite components or only zeros, and vectors whose
-    length is not the most frequent one (the shorter of two equally frequent ones).
+    length is not ``dimension``, or else the most frequent one (the shorter of two equally frequent ones).
     """
     rows = embeddings.select(F.col("vec_id").cast("long").alias("id"), F.col("embedding").cast("array<double>").alias("vector"))
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = rows.where("id IS NOT NULL AND vector IS NOT NULL").where(finite & F.exists("vector", lambda x: x != 0))
+    if dimension is not None:
+        return rows.where(F.size("vector") == dimension), dimension
     sizes = rows.groupBy(F.size("vector").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "d").limit(1).collect()
     dimension = sizes[0]["d"] if sizes else 0
     return rows.where(F.size("vector") == dimension), dimension
@@ -152,9 +162,15 @@ def _visits(index: MultiIndex, entries: int, dimension: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             vectors = _matrix(batch.column(1), dimension) + 0.0
-            bits = [np.packbits(index.visited(v, entries)).tobytes() for v in vectors]
+            visited = [index.visited(v, entries) for v in vectors]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([v.tobytes() for v in vectors], pa.binary()), pa.array(bits, pa.binary())], ["id", "vector", "cells"]
+                [
+                    batch.column(0),
+                    pa.array([v.tobytes() for v in vectors], pa.binary()),
+                    pa.array([np.packbits(v).tobytes() for v in visited], pa.binary()),
+                    pa.array([index.shards_of(v) for v in visited], pa.list_(pa.int64())),
+                ],
+                ["id", "vector", "cells", "shards"],
             )
 
     return run
@@ -172,12 +188,21 @@ def _rerank(neighbours: int):
                 q = np.frombuffer(b"".join(e["vector"] for e in queries), np.float64).reshape(len(queries), -1)
                 cell = np.array([e["cell"] for e in entries])
                 visited = np.unpackbits(np.frombuffer(b"".join(e["cells"] for e in queries), np.uint8).reshape(len(queries), -1), axis=1)
-                rough = (q**2).sum(1)[:, None] + (x**2).sum(1) - 2 * q @ x.T
-                rough[visited[:, cell] == 0] = np.inf
-                most = min(neighbours + 8, len(entries))  # a few more than needed: the rough distances are only nearly exact
-                some = np.argpartition(rough, most - 1, axis=1)[:, :most]
+                # around the middle of the entries, products of the vectors lose the fewest digits
+                middle = x.mean(0)
+                moved, asked = x - middle, q - middle
+                length = (moved**2).sum(1)
                 for k, query in enumerate(queries):
-                    near = some[k][np.isfinite(rough[k, some[k]])]
+                    own = np.flatnonzero(visited[k, cell])
+                    if not len(own):
+                        continue
+                    # squared distances but for one number, and how far off they may be
+                    rough = length[own] - 2 * moved[own] @ asked[k]
+                    off = 4 * np.finfo(float).eps * (x.shape[1] + 4) * (float(length[own].max()) + float(asked[k] @ asked[k]) + float(np.abs(middle).max()) * (float(np.abs(moved).max()) + float(np.abs(asked[k]).max())))
+                    least = min(neighbours + 1, len(own))
+                    bound = np.partition(rough, least - 1)[least - 1]
+                    # whatever may be among the nearest, or tie with the last of them, is measured exactly
+                    near = own[rough <= bound + 2 * off]
                     exact = np.sqrt(((x[near] - q[k]) ** 2).sum(1))
                     found = sorted((d, i) for d, e in zip(exact.tolist(), near.tolist(), strict=True) for i in entries[e]["ids"] if i != query["id"])
                     out.append((query["id"], [{"score": d, "vec_id": i} for d, i in found[:neighbours]]))
@@ -236,15 +261,15 @@ def nearest_neighbours(
         return spark.createDataFrame([], schema)
     index, entries = build_index(vectors, dimension, path, neighbours, centroids, sample)
     wanted = max(int(np.ceil(share * index.sizes.sum())), neighbours + 1)
-    asked = usable_vectors(queries)[0].where(F.size("vector") == dimension).dropDuplicates()
-    asked = written(map_arrow(asked, _visits(index, wanted, dimension), "id long, vector binary, cells binary"), f"{path}/queries")
+    asked = usable_vectors(queries, dimension)[0].dropDuplicates()
+    asked = written(map_arrow(asked, _visits(index, wanted, dimension), "id long, vector binary, cells binary, shards array<long>"), f"{path}/queries")
 
     dealt = map_arrow(entries, _deal(index), "shard long, cell int, vector binary, ids array<long>")
     shards = dealt.groupBy("shard").agg(F.collect_list(F.struct("cell", "vector", "ids")).alias("entries"))
-    blocks = asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(1 + asked.count() // QUERY_BLOCK)))
-    blocks = blocks.groupBy("block").agg(F.collect_list(F.struct("id", "vector", "cells")).alias("queries"))
-    last = int((index.shard + index.parts).max()) - 1
-    spread = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(last).cast("long"))))
+    # a query goes to the shards of the cells it visits, together with others of its block
+    block = F.pmod(F.xxhash64("id"), F.lit(1 + asked.count() // QUERY_BLOCK))
+    spread = asked.withColumn("block", block).withColumn("shard", F.explode("shards"))
+    spread = spread.groupBy("shard", "block").agg(F.collect_list(F.struct("id", "vector", "cells")).alias("queries"))
     found = map_arrow(spread.join(shards, "shard").select("entries", "queries"), _rerank(neighbours), "query_id long, found array<struct<score double, vec_id long>>")
     best = lambda column: F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list(column)))), 1, neighbours)
     salted = found.groupBy("query_id", F.pmod(F.spark_partition_id(), F.lit(16)).alias("salt")).agg(best("found").alias("found"))
