@@ -4,7 +4,7 @@ A record is, with all numbers little-endian::
 
     length      unsigned 64-bit   bytes of the payload
     length_crc  unsigned 32-bit   masked CRC-32 of the eight length bytes
-    payload     doc_id (signed 64-bit), id width in bytes (unsigned 8-bit: 2 or 4), ids
+    payload     doc_id (signed 64-bit), id width in bytes (unsigned 8-bit: 2 or 4, with 128 added if doc_id is null), ids
     payload_crc unsigned 32-bit   masked CRC-32 of the payload
     end         one byte 0x0A
 
@@ -21,6 +21,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import islice
 
 import numpy as np
@@ -42,7 +43,7 @@ _MASK_DELTA = 0xA282EAD8
 _HEAD = struct.Struct("<QI")
 _INFO = struct.Struct("<qB")
 _CRC = struct.Struct("<I")
-_NO_ID = -(2**63)  # doc_id of a null id
+_NO_ID = 0x80  # added to the width where doc_id is null
 
 
 def masked_crc(data: bytes) -> int:
@@ -53,7 +54,7 @@ def masked_crc(data: bytes) -> int:
 def frame(doc_id: int | None, ids: np.ndarray) -> bytes:
     """One record without its end byte, which the writer adds. Ids take two bytes each if all of them fit."""
     width = 2 if not len(ids) or int(ids.max()) < 1 << 16 else 4
-    payload = _INFO.pack(_NO_ID if doc_id is None else doc_id, width) + ids.astype(f"<u{width}").tobytes()
+    payload = _INFO.pack(doc_id or 0, width + _NO_ID * (doc_id is None)) + ids.astype(f"<u{width}").tobytes()
     length = struct.pack("<Q", len(payload))
     return length + _CRC.pack(masked_crc(length)) + payload + _CRC.pack(masked_crc(payload))
 
@@ -73,24 +74,98 @@ def parse(data, offset: int = 0) -> tuple[int | None, np.ndarray, int]:
     if masked_crc(payload) != _CRC.unpack_from(data, start + length)[0]:
         raise ValueError(f"damaged payload at byte {offset}")
     doc_id, width = _INFO.unpack_from(payload)
-    ids = np.frombuffer(payload, f"<u{width}", offset=_INFO.size).astype("<u4")
-    return (None if doc_id == _NO_ID else doc_id), ids, start + length + 5
+    ids = np.frombuffer(payload, f"<u{width & ~_NO_ID}", offset=_INFO.size).astype("<u4")
+    return (None if width & _NO_ID else doc_id), ids, start + length + 5
+
+
+@dataclass(frozen=True)
+class Shards:
+    """Which shards a document may go to: ids from one edge up to the next are a range, null ids the first; ranges make groups,
+    and a group has one shard, or several if it is a single id with more bytes than a shard should have."""
+
+    edges: np.ndarray
+    group: np.ndarray  # of each range
+    first: np.ndarray  # shard of each group
+    parts: np.ndarray  # shards of each group
+
+    def of(self, doc_ids: list[int | None], records: list[bytes]) -> np.ndarray:
+        """Records of one id are dealt by their checksums, since their order is free."""
+        group = self.group[_place(self.edges, doc_ids)]
+        checks = np.array([zlib.crc32(r) for r in records], dtype=np.int64)
+        return self.first[group] + (checks * self.parts[group] >> 32)
+
+    @property
+    def count(self) -> int:
+        return int(self.parts.sum())
+
+
+def _place(edges: np.ndarray, doc_ids: list[int | None]) -> np.ndarray:
+    known = np.array([0 if d is None else d for d in doc_ids], dtype=np.int64)
+    null = np.array([d is None for d in doc_ids], dtype=bool)
+    return np.where(null, 0, 1 + np.searchsorted(edges, known, "right"))
+
+
+def plan_shards(edges: np.ndarray, sizes: np.ndarray, shard_bytes: int) -> Shards:
+    """Neighbouring ranges together up to ``shard_bytes``; sizes: bytes of each range, the null ids first."""
+    single = np.zeros(len(sizes), bool)
+    single[0] = True
+    single[2:-1] = edges[1:] - edges[:-1] == 1
+    group, parts, held = [], [], 0
+    for size, alone in zip(sizes.tolist(), single.tolist(), strict=True):
+        large = alone and size > shard_bytes
+        if not parts or large or parts[-1] > 1 or held + size > shard_bytes:
+            parts.append(-(-size // shard_bytes) if large else 1)
+            held = 0
+        held += size
+        group.append(len(parts) - 1)
+    parts = np.array(parts, dtype=np.int64)
+    return Shards(edges, np.array(group), np.cumsum(parts) - parts, parts)
+
+
+def _shards(narrow: DataFrame, shard_bytes: int) -> Shards:
+    """Shards of about ``shard_bytes`` of text each, however bytes are spread over ids.
+
+    Edges are quantiles of a sample in which a document is as often as its bytes come to; then the bytes of every range are
+    counted. The sample decides about balance only. An id that the sample repeats becomes a range of its own.
+    """
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1
+    total = narrow.agg(F.sum(size)).first()[0] or 0
+    shards = 1 + total // shard_bytes
+    edges = np.zeros(0, np.int64)
+    if shards > 1:
+        chance = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) / F.lit(float(1 << 20))
+        times = F.floor(size * 8 / F.lit(float(shard_bytes)) + chance).cast("int")
+        sample = narrow.where("doc_id IS NOT NULL").select("doc_id", times.alias("times")).where("times > 0")
+        sample = sample.select("doc_id", F.explode(F.sequence(F.lit(1), "times")))
+        probes = [i / (2 * shards) for i in range(1, 2 * shards)]
+        ids = sample.agg(F.percentile_approx("doc_id", probes, min(10_000_000, 8 * len(probes)))).first()[0] or []
+        twice = {a for a, b in zip(ids, ids[1:], strict=False) if a == b}
+        edges = np.array(sorted({*ids, *(i + 1 for i in twice if i + 1 < 2**63)}), dtype=np.int64)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sizes = np.zeros(len(edges) + 2, np.int64)
+        for batch in batches:
+            np.add.at(sizes, _place(edges, batch.column(0).to_pylist()), batch.column(1).to_numpy())
+        used = np.flatnonzero(sizes)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(sizes[used])], ["place", "bytes"])
 
+    sizes = np.zeros(len(edges) + 2, np.int64)
+    summed = map_arrow(narrow.select("doc_id", size.alias("bytes")), counted, "place long, bytes long").groupBy("place").agg(F.sum("bytes"))
+    for place, n in summed.collect():  # some rows for each shard
+        sizes[place] = n
+    return plan_shards(edges, sizes, shard_bytes)
 
-def _frames(path: str, end_id: int, bounds: list[int]):
-    edges = np.array(bounds, dtype=np.int64)
+
+def _frames(path: str, end_id: int, shards: Shards):
     end = np.array([end_id], dtype="<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, SLICE):
                 doc_ids = part.column(0).to_pylist()
-                ids = [np.concatenate([x, end]) for x in encoder(path).encode_column(part.column(1))]
-                keys = np.array([_NO_ID if d is None else d for d in doc_ids], dtype=np.int64)
-                frames = [frame(d, x) for d, x in zip(doc_ids, ids, strict=True)]
+                frames = [frame(d, np.concatenate([x, end])) for d, x in zip(doc_ids, encoder(path).encode_column(part.column(1)), strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.searchsorted(edges, keys, "right").astype(np.int32)), part.column(0), pa.array(frames, pa.binary())],
-                    ["shard", "doc_id", "record"],
+                    [pa.array(shards.of(doc_ids, frames).astype(np.int32)), part.column(0), pa.array(frames, pa.binary())], ["shard", "doc_id", "record"]
                 )
 
     return run
@@ -125,20 +200,17 @@ def write_records(
 ) -> None:
     """Encode ``documents`` (doc_id, text) and write records and index below the folder ``where``, which must not exist.
 
-    Documents are dealt to shards by doc_id at quantiles, one per ``shard_bytes`` of text; texts are encoded before they
-    move, so that ids move and not texts. A null text is empty: only the end id. A null doc_id sorts first. Repeated
+    Documents are dealt to shards by ranges of doc_id with about ``shard_bytes`` of text each (see ``Shards``); texts are
+    encoded before they move, so that ids move and not texts. A null text is empty: only the end id. A null doc_id sorts first. Repeated
     rows give a record each. Other columns are ignored. An empty table gives an index without rows.
     """
     spark = documents.sparkSession
     path = tokenizer_path or default_path(TOKENIZER)
     narrow = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    total = narrow.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = 1 + total // shard_bytes
-    probes = [i / shards for i in range(1, shards)]
-    bounds = sorted(set(narrow.approxQuantile("doc_id", probes, 0.2 / shards))) if probes else []
-    frames = map_arrow(narrow, _frames(path, end_id, [int(b) for b in bounds]), "shard int, doc_id long, record binary")
+    shards = _shards(narrow, shard_bytes)
+    frames = map_arrow(narrow, _frames(path, end_id, shards), "shard int, doc_id long, record binary")
     (
-        frames.repartition(max(shards, 1), "shard")
+        frames.repartitionById(shards.count, "shard")
         .sortWithinPartitions("shard", "doc_id", "record")
         .select("shard", F.col("record").cast("string").alias("value"))
         .write.partitionBy("shard")
