@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import zlib
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -12,6 +13,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+try:
+    _TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+except (OSError, TypeError):  # no C library to ask
+    _TRIM = None
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
@@ -30,9 +35,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: workers stay between tasks, and several share an executor."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
 def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     importable(df.sparkSession)
-    return df.mapInArrow(function, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        release_memory()
+
+    return df.mapInArrow(run, schema)
 
 
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattledger.llm.common import each_text, importable, map_arrow, slices, texts_of
+from wattledger.llm.common import each_text, importable, map_arrow, release_memory, slices, texts_of
 from wattledger.plans.sizing import broadcast_within
 
 ORDER = 4
@@ -115,6 +115,7 @@ def quality(ratios: np.ndarray, threshold: float = THRESHOLD, order: int = ORDER
             found = grams(text, order, buckets)
             if len(found):
                 llr[row] = table[found].mean(dtype=np.float64)
+        release_memory()
         failed = (stats[:, 0] < MIN_WORDS) | (100 * stats[:, 4] > MAX_REPEAT_PERCENT * stats[:, 0])
         columns = [*(pa.array(stats[:, i]) for i in range(5)), pa.array(failed), pa.array(llr), pa.array(~failed & (llr >= threshold))]
         return pa.StructArray.from_arrays(columns, [*_STATS, "base_failed", "llr", "kept"])

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattledger.llm.common import each_text, importable, map_arrow
+from wattledger.llm.common import each_text, importable, map_arrow, release_memory
 from wattledger.llm.components import connected_components
 from wattledger.plans.sizing import broadcast_within
 from wattledger.plans.storage import scratch_dir, written
@@ -65,6 +65,7 @@ def fingerprints(text: Column) -> Column:
     @F.arrow_udf("long")
     def of(texts: pa.Array) -> pa.Array:
         found = [fingerprint(t) for t in each_text(texts)]
+        release_memory()
         return pa.array(np.array(found, dtype=np.uint64).view(np.int64))
 
     return of(text.cast("string"))

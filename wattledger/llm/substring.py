@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattledger.llm.common import each_text, importable, map_arrow
+from wattledger.llm.common import each_text, importable, map_arrow, release_memory
 from wattledger.plans.storage import scratch_dir, written
 
 WINDOW = 50
@@ -222,6 +222,7 @@ def _cut(window: int):
             counts.append(len(words))
             removed.append(int(gone.sum()))
             kept.append(b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g] if removed[-1] else words))
+        release_memory()
         return pa.StructArray.from_arrays(
             [pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary())], ["n_words", "n_removed", "kept"]
         )

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattledger.llm.common import each_text, id_crc, importable, map_arrow, texts_of
+from wattledger.llm.common import each_text, id_crc, importable, map_arrow, release_memory, texts_of
 
 MAX_TRAIN = 20_000  # labelled rows that lexicon and trees are fitted on
 LEXICON_SIZE = 400
@@ -319,6 +319,7 @@ def score_column(model: Model, text: Column) -> Column:
         for texts in batches:
             x = np.array([features(t, classes) for t in each_text(texts)], dtype=np.float64).reshape(len(texts), len(FEATURES))
             yield pa.array(model.scores(x))
+            release_memory()
 
     return score(text.cast("string"))
 
