@@ -468,6 +468,9 @@ def test_clamp_keeps_null(frame):
         (-2.5e13, 6, -2.5e13),
         (9.3e18, 2, 9.3e18),
         (1e300, 6, 1e300),
+        (1.7e308, 6, 1.7e308),
+        (-1.7e308, 2, -1.7e308),
+        (float(2**52 + 1), 6, float(2**52 + 1)),
         (float("inf"), 6, float("inf")),
         (float("-inf"), 2, float("-inf")),
         (None, 2, None),
