@@ -102,6 +102,68 @@ def test_queries_go_to_shards_of_visited_cells_only():
         assert index.shards_of(visited).tolist() == sorted(expected)
 
 
+def test_little_more_than_the_sample_reaches_the_driver(spark, monkeypatch):
+    """Rows that are sorted for the driver, each partition of which would send it a whole sample, do not grow with the table."""
+    rng = np.random.default_rng(7)
+    df = spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in range(6000)], VECTORS).repartition(20)
+    sorted_, order_by = [], type(df).orderBy
+
+    def counted(self, *by, **how):
+        sorted_.append(self.count())
+        return order_by(self, *by, **how)
+
+    with monkeypatch.context() as m:
+        m.setattr(type(df), "orderBy", counted)
+        assert ann.nearest_neighbours(df, df.where("vec_id < 3"), centroids=4, sample=400).count() == 30
+    assert 400 <= max(sorted_) < 800
+
+
+@pytest.mark.parametrize("sample", [1, 40, 299, 300, 1000])
+def test_sample_is_of_the_smallest_hashes(spark, sample):
+    rng = np.random.default_rng(8)
+    df = spark.createDataFrame([(bytearray(rng.normal(size=2).tobytes()),) for _ in range(300)], "vector binary")
+    rows = df.selectExpr("xxhash64(vector) AS hash", "vector").collect()
+    expected = [bytes(r["vector"]) for r in sorted(rows, key=lambda r: (r["hash"], r["vector"]))][:sample]
+    assert ann._sampled(df, sample) == expected
+
+
+@pytest.mark.parametrize("span", [1, 3, 1000])
+def test_regions_of_several_shards_are_exact(spark, monkeypatch, span):
+    """Large cells that go over the end of a region, and several vectors of the query's own id."""
+    monkeypatch.setattr(ann, "SHARD_ROWS", 7)
+    monkeypatch.setattr(ann, "QUERY_BLOCK", 16)
+    monkeypatch.setattr(ann, "BLOCK_CELLS", 500)
+    monkeypatch.setattr(ann.MultiIndex, "span", lambda *_: span)
+    rng = np.random.default_rng(9)
+    rows = awkward_vectors() + [(5, [1.0, 2.0, 3.0, 4.0, 5.0 + k / 1000]) for k in range(30)]
+    rows += [(3000 + i, (50 + rng.normal(size=5) / 100).tolist()) for i in range(60)]
+    queries = [r for r in rows if r[0] is not None and r[0] % 10 == 0] + rows[-70:-59]
+    got = found(ann.nearest_neighbours(spark.createDataFrame(rows, VECTORS), spark.createDataFrame(queries, VECTORS), share=1.0, centroids=8))
+    expected = plain_neighbours(rows, [q for q in queries if q[0] != 5])
+    assert {q: [x[:2] for x in near] for q, near in got.items() if q != 5} == {q: [x[:2] for x in near] for q, near in expected.items()}
+    assert len(got[5]) == 10 and [x[1] for x in got[5]] == list(range(1000, 1010))
+
+
+def test_regions_hold_the_cells_of_their_shards():
+    rng = np.random.default_rng(10)
+    sizes = rng.integers(0, 3, 30)
+    index = ann.MultiIndex((np.zeros((6, 1)), np.zeros((5, 1))), sizes, np.arange(30) // 2, np.where(np.arange(30) % 7 == 3, 3, 1))
+    for span in (1, 2, 5):
+        regions = index.regions(span)
+        for _ in range(20):
+            visited = rng.random(30) < 0.2
+            expected = {r for r, cells in regions.items() if visited[cells].any()}
+            assert set((index.shards_of(visited) // span).tolist()) == expected
+
+
+def test_regions_are_bounded_by_bytes():
+    index = ann.MultiIndex((np.zeros((1, 1)), np.zeros((1, 1))), np.array([1 << 40]), np.array([0]), np.array([1 << 29]))
+    for dimension in (1, 64, 5000):
+        span = index.span(dimension, 6)
+        assert span == 1 or 8 * dimension * ann.SHARD_ROWS * span <= ann.REGION_BYTES
+    assert ann.MultiIndex(index.books, np.array([9]), np.array([0]), np.array([1])).span(64, 6) == 1
+
+
 def test_extra_columns_do_not_matter(spark):
     df = spark.createDataFrame(awkward_vectors(40), VECTORS)
     plain = found(ann.nearest_neighbours(df, df, share=1.0))

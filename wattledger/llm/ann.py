@@ -4,9 +4,10 @@ Each half of the vectors is quantised by a codebook of its own; a pair of centro
 the order of its summed squared distances to the two centroids, taken from a heap, until the cells hold a given share of
 the index; the rows of visited cells are reranked by exact distance.
 
-Every row is indexed; only the codebooks are fitted on a bounded sample. Equal vectors are one entry that keeps the
-smallest ids, and cells are dealt into shards of bounded size, a large cell into several, so neither a hot vector nor a hot
-cell meets in one task. Queries meet shards in blocks.
+Every row is indexed; only the codebooks are fitted on a bounded sample, and little more than the sample reaches the driver.
+Equal vectors are one entry that keeps the smallest ids, and cells are dealt into shards of bounded size, a large cell into
+several, so neither a hot vector nor a hot cell meets in one task. Consecutive shards form regions of bounded bytes: a task
+holds the entries of one region, and the queries that visit it pass by in blocks.
 """
 
 from __future__ import annotations
@@ -18,10 +19,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattledger.llm.common import map_arrow
+from wattledger.llm.common import map_arrow, shuffle_partitions
 from wattledger.plans.storage import scratch_dir, written
 
 NEIGHBOURS = 10
@@ -30,6 +32,9 @@ SAMPLE = 10_000  # vectors the codebooks are fitted on
 SHARE = 0.5  # of the index that a query visits at least; what recall asks for in data without clusters
 SHARD_ROWS = 2048
 QUERY_BLOCK = 128
+REGION_BYTES = 32 << 20  # of vectors that a task holds at once
+REGIONS_PER_CORE = 8  # wanted at least
+BLOCK_CELLS = 4 << 20  # of the table of distances of one block
 
 
 def codebook(vectors: np.ndarray, centroids: int, rounds: int = 12) -> np.ndarray:
@@ -89,7 +94,6 @@ class MultiIndex:
                 heapq.heappush(heap, (sorted_[0][i + 1] + sorted_[1][j], i + 1, j))
         return out
 
-
     def shards_of(self, visited: np.ndarray) -> np.ndarray:
         """The shards that hold entries of visited cells."""
         cells = np.flatnonzero(visited & (self.sizes > 0))
@@ -97,6 +101,20 @@ class MultiIndex:
         within = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
         return np.unique(np.repeat(self.shard[cells], parts) + within)
 
+    def span(self, dimension: int, cores: int) -> int:
+        """Consecutive shards that form a region: the more, the fewer copies of a query travel."""
+        shards = int((self.shard + self.parts).max())
+        most = REGION_BYTES // (8 * dimension * SHARD_ROWS)
+        return max(1, min(most, shards // (REGIONS_PER_CORE * cores)))
+
+    def regions(self, span: int) -> dict[int, np.ndarray]:
+        """Region -> the cells that have entries in it, in ascending order."""
+        out: dict[int, list[int]] = {}
+        for cell in np.flatnonzero(self.sizes > 0).tolist():
+            for region in range(self.shard[cell] // span, (self.shard[cell] + self.parts[cell] - 1) // span + 1):
+                out.setdefault(region, []).append(cell)
+        return {region: np.array(cells) for region, cells in out.items()}
+
 
 def usable_vectors(embeddings: DataFrame, dimension: int | None = None) -> tuple[DataFrame, int]:
     """(id, vector as doubles) of the rows that take part, and their common length.
@@ -146,72 +164,155 @@ def _cells(index: MultiIndex):
     return run
 
 
-def _deal(index: MultiIndex):
-    """Entries with their shard; those of a large cell go to its shards by a hash of the vector."""
+def _deal(index: MultiIndex, span: int):
+    """Entries with their region; those of a large cell go to its shards by a hash of the vector."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cells = batch.column(0).to_numpy()
             part = np.array([zlib.crc32(v) for v in batch.column(1).to_pylist()], dtype=np.int64) % index.parts[cells]
-            yield pa.RecordBatch.from_arrays([pa.array(index.shard[cells] + part), *batch.columns], ["shard", "cell", "vector", "ids"])
+            yield pa.RecordBatch.from_arrays([pa.array((index.shard[cells] + part) // span), *batch.columns], ["region", "cell", "vector", "ids"])
 
     return run
 
 
-def _visits(index: MultiIndex, entries: int, dimension: int):
+def _visits(index: MultiIndex, span: int, entries: int, dimension: int):
+    """Queries with the regions they visit, and for each region which of its cells, as bits."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            vectors = _matrix(batch.column(1), dimension) + 0.0
-            visited = [index.visited(v, entries) for v in vectors]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([v.tobytes() for v in vectors], pa.binary()),
-                    pa.array([np.packbits(v).tobytes() for v in visited], pa.binary()),
-                    pa.array([index.shards_of(v) for v in visited], pa.list_(pa.int64())),
-                ],
-                ["id", "vector", "cells", "shards"],
-            )
+        cells_of = index.regions(span)
+        for whole in batches:
+            for start in range(0, whole.num_rows, QUERY_BLOCK):
+                batch = whole.slice(start, QUERY_BLOCK)
+                vectors = _matrix(batch.column(1), dimension) + 0.0
+                regions, bits, ends = [], [], [0]
+                for v in vectors:
+                    visited = index.visited(v, entries)
+                    own = np.unique(index.shards_of(visited) // span).tolist()
+                    regions += own
+                    bits += [np.packbits(visited[cells_of[region]]).tobytes() for region in own]
+                    ends.append(len(regions))
+                places = pa.StructArray.from_arrays([pa.array(regions, pa.int64()), pa.array(bits, pa.binary())], ["region", "cells"])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array([v.tobytes() for v in vectors], pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), places)],
+                    ["id", "vector", "places"],
+                )
 
     return run
 
 
-def _rerank(neighbours: int):
-    """The nearest entries of one shard to each query of one block, among the cells that the query visits."""
+class _Region:
+    """The entries of one region, by cell."""
+
+    def __init__(self, parts: list[tuple[np.ndarray, ...]], cells: np.ndarray):
+        cell, x, counts, self.ids = (np.concatenate(p) for p in zip(*parts, strict=True))
+        order = np.argsort(cell, kind="stable")
+        self.x = x[order]
+        self.starts, self.counts = (np.cumsum(counts) - counts)[order], counts[order]
+        self.place = np.searchsorted(cells, cell[order])  # of each entry's cell among those of the region
+        self.bounds = np.searchsorted(self.place, np.arange(len(cells) + 1))
+        # around the middle of the entries, products of the vectors lose the fewest digits
+        self.middle = self.x.mean(0)
+        self.moved = self.x - self.middle
+        self.lengths = np.einsum("ij,ij->i", self.moved, self.moved)
+        self.widest = float(np.abs(self.moved).max())
+
+    def _rough(self, asked: np.ndarray, visited: np.ndarray) -> np.ndarray:
+        """Squared distances but for one number a query; infinite where the entry's cell is not visited."""
+        out = np.full((len(asked), len(self.x)), np.inf)
+        for k, (start, stop) in enumerate(zip(self.bounds[:-1].tolist(), self.bounds[1:].tolist(), strict=True)):
+            own = np.flatnonzero(visited[:, k])
+            if start < stop and len(own):
+                out[own, start:stop] = self.lengths[start:stop] - 2 * (asked[own] @ self.moved[start:stop].T)
+        return out
+
+    def _near(self, rough: np.ndarray, bound: float, off: float, visited: np.ndarray, least: int) -> np.ndarray:
+        """Whatever may be among the ``least`` nearest visited entries, or tie with the last of them."""
+        if not np.isfinite(off):
+            return np.flatnonzero(visited[self.place])
+        near = np.flatnonzero(rough <= bound + 2 * off) if np.isfinite(bound) else np.flatnonzero(visited[self.place])
+        if len(near) > least:
+            kept = rough[near]
+            near = near[kept <= np.partition(kept, least - 1)[least - 1] + 2 * off]
+        return near
+
+    def _found(self, near: np.ndarray, query: np.ndarray, query_id: int, neighbours: int) -> list[tuple[float, int]]:
+        exact = np.sqrt(((self.x[near] - query) ** 2).sum(1)).tolist()
+        ids = [self.ids[s : s + n].tolist() for s, n in zip(self.starts[near].tolist(), self.counts[near].tolist(), strict=True)]
+        return sorted((d, i) for d, own in zip(exact, ids, strict=True) for i in own if i != query_id)[:neighbours]
+
+    def nearest(self, query_ids: list[int], queries: np.ndarray, visited: np.ndarray, neighbours: int) -> Iterator[tuple[int, list[tuple[float, int]]]]:
+        least = neighbours + 1
+        block = max(1, min(QUERY_BLOCK, BLOCK_CELLS // len(self.x)))
+        for first in range(0, len(queries), block):
+            q, seen = queries[first : first + block], visited[first : first + block]
+            asked = q - self.middle
+            rough = self._rough(asked, seen)
+            # how far off they may be
+            off = 4 * np.finfo(float).eps * (q.shape[1] + 4) * (float(self.lengths.max()) + (asked**2).sum(1) + float(np.abs(self.middle).max()) * (self.widest + np.abs(asked).max(1)))
+            # the distance within which some of the entries hold enough
+            some = rough[:, ::8]
+            bound = np.partition(some, least - 1, axis=1)[:, least - 1] if some.shape[1] >= least else np.full(len(q), np.inf)
+            for k, query in enumerate(q):
+                query_id = query_ids[first + k]
+                near = self._near(rough[k], bound[k], off[k], seen[k], least)
+                found = self._found(near, query, query_id, neighbours)
+                if len(found) < neighbours and len(near) >= least:  # several entries have the query's own id
+                    found = self._found(np.flatnonzero(seen[k][self.place]), query, query_id, neighbours)
+                if found:
+                    yield query_id, found
+
+
+def _rerank(index: MultiIndex, span: int, neighbours: int):
+    """The nearest entries of each region to each query that visits it, among the cells that the query visits.
+
+    Takes rows by region, its entries before its queries.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells_of = index.regions(span)
+        at, parts, region = None, [], None
         for batch in batches:
-            out = []
-            for row in batch.to_pylist():
-                entries, queries = row["entries"], row["queries"]
-                x = np.frombuffer(b"".join(e["vector"] for e in entries), np.float64).reshape(len(entries), -1)
-                q = np.frombuffer(b"".join(e["vector"] for e in queries), np.float64).reshape(len(queries), -1)
-                cell = np.array([e["cell"] for e in entries])
-                visited = np.unpackbits(np.frombuffer(b"".join(e["cells"] for e in queries), np.uint8).reshape(len(queries), -1), axis=1)
-                # around the middle of the entries, products of the vectors lose the fewest digits
-                middle = x.mean(0)
-                moved, asked = x - middle, q - middle
-                length = (moved**2).sum(1)
-                for k, query in enumerate(queries):
-                    own = np.flatnonzero(visited[k, cell])
-                    if not len(own):
-                        continue
-                    # squared distances but for one number, and how far off they may be
-                    rough = length[own] - 2 * moved[own] @ asked[k]
-                    off = 4 * np.finfo(float).eps * (x.shape[1] + 4) * (float(length[own].max()) + float(asked[k] @ asked[k]) + float(np.abs(middle).max()) * (float(np.abs(moved).max()) + float(np.abs(asked[k]).max())))
-                    least = min(neighbours + 1, len(own))
-                    bound = np.partition(rough, least - 1)[least - 1]
-                    # whatever may be among the nearest, or tie with the last of them, is measured exactly
-                    near = own[rough <= bound + 2 * off]
-                    exact = np.sqrt(((x[near] - q[k]) ** 2).sum(1))
-                    found = sorted((d, i) for d, e in zip(exact.tolist(), near.tolist(), strict=True) for i in entries[e]["ids"] if i != query["id"])
-                    out.append((query["id"], [{"score": d, "vec_id": i} for d, i in found[:neighbours]]))
-            kind = pa.list_(pa.struct([("score", pa.float64()), ("vec_id", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in out], pa.int64()), pa.array([f for _, f in out], kind)], ["query_id", "found"])
+            key = 2 * batch.column(0).to_numpy() + batch.column(1).to_numpy(zero_copy_only=False)
+            starts = np.flatnonzero(np.diff(key, prepend=-1))
+            for start, stop in zip(starts.tolist(), [*starts[1:].tolist(), len(key)], strict=True):
+                rows = batch.slice(start, stop - start)
+                if key[start] // 2 != at:
+                    at, parts, region = key[start] // 2, [], None
+                if key[start] % 2 == 0:
+                    ids = rows.column(5)
+                    parts.append((rows.column(3).to_numpy(), _stacked(rows.column(4)), pc.list_value_length(ids).to_numpy(), ids.flatten().to_numpy()))
+                    continue
+                if region is None and parts:
+                    region, parts = _Region(parts, cells_of[at]), []
+                if region is None:  # a part of a large cell may have no entries
+                    continue
+                bits = np.frombuffer(b"".join(rows.column(6).to_pylist()), np.uint8).reshape(rows.num_rows, -1)
+                visited = np.unpackbits(bits, axis=1, count=len(cells_of[at])).astype(bool)
+                found = list(region.nearest(rows.column(2).to_pylist(), _stacked(rows.column(4)), visited, neighbours))
+                ends = np.cumsum([0, *(len(f) for _, f in found)])
+                near = pa.StructArray.from_arrays([pa.array([d for _, f in found for d, _ in f], pa.float64()), pa.array([i for _, f in found for _, i in f], pa.int64())], ["score", "vec_id"])
+                yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in found], pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), near)], ["query_id", "found"])
 
     return run
 
 
+def _sampled(distinct: DataFrame, sample: int) -> list[bytes]:
+    """The ``sample`` vectors with the smallest hashes, in their order.
+
+    Each partition would send the driver that many; so only hashes below a bound that about so many are expected under are sent.
+    """
+    hashed = distinct.select(F.xxhash64("vector").alias("hash"), "vector")
+    rows = distinct.count()
+    expected = sample + 8 * int(np.sqrt(sample)) + 8
+    while True:
+        few = hashed.where(F.col("hash") < -(1 << 63) + (expected << 64) // rows) if expected < rows else hashed
+        found = few.orderBy("hash", "vector").limit(sample).collect()
+        if len(found) == sample or expected >= rows:
+            return [bytes(r["vector"]) for r in found]
+        expected *= 2
+
+
 def build_index(vectors: DataFrame, dimension: int, path: str, neighbours: int, centroids: int, sample: int) -> tuple[MultiIndex, DataFrame]:
     """The index, and its entries (cell, vector, ids), written to ``path``."""
     keep = neighbours + 1  # one may be the query itself
@@ -219,8 +320,7 @@ def build_index(vectors: DataFrame, dimension: int, path: str, neighbours: int,
         F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))), 1, keep).alias("ids")
     )
     distinct = written(distinct, f"{path}/distinct")
-    rows = distinct.select("vector").orderBy(F.xxhash64("vector"), "vector").limit(sample).collect()
-    fitted = np.frombuffer(b"".join(r["vector"] for r in rows), np.float64).reshape(len(rows), dimension)
+    fitted = np.frombuffer(b"".join(_sampled(distinct, sample)), np.float64).reshape(-1, dimension)
     middle = (dimension + 1) // 2
     books = tuple(codebook(half, min(centroids, len(fitted))) for half in (fitted[:, :middle], fitted[:, middle:]))
     index = MultiIndex(books, np.zeros(len(books[0]) * len(books[1]), np.int64), np.empty(0), np.empty(0))
@@ -261,16 +361,17 @@ def nearest_neighbours(
         return spark.createDataFrame([], schema)
     index, entries = build_index(vectors, dimension, path, neighbours, centroids, sample)
     wanted = max(int(np.ceil(share * index.sizes.sum())), neighbours + 1)
+    span = index.span(dimension, spark.sparkContext.defaultParallelism)
     asked = usable_vectors(queries, dimension)[0].dropDuplicates()
-    asked = written(map_arrow(asked, _visits(index, wanted, dimension), "id long, vector binary, cells binary, shards array<long>"), f"{path}/queries")
-
-    dealt = map_arrow(entries, _deal(index), "shard long, cell int, vector binary, ids array<long>")
-    shards = dealt.groupBy("shard").agg(F.collect_list(F.struct("cell", "vector", "ids")).alias("entries"))
-    # a query goes to the shards of the cells it visits, together with others of its block
-    block = F.pmod(F.xxhash64("id"), F.lit(1 + asked.count() // QUERY_BLOCK))
-    spread = asked.withColumn("block", block).withColumn("shard", F.explode("shards"))
-    spread = spread.groupBy("shard", "block").agg(F.collect_list(F.struct("id", "vector", "cells")).alias("queries"))
-    found = map_arrow(spread.join(shards, "shard").select("entries", "queries"), _rerank(neighbours), "query_id long, found array<struct<score double, vec_id long>>")
+    asked = written(map_arrow(asked, _visits(index, span, wanted, dimension), "id long, vector binary, places array<struct<region long, cells binary>>"), f"{path}/queries")
+
+    # a query goes to the regions of the cells it visits, and comes after the entries there
+    dealt = map_arrow(entries, _deal(index, span), "region long, cell int, vector binary, ids array<long>")
+    dealt = dealt.selectExpr("region", "false AS asks", "CAST(NULL AS long) AS id", "cell", "vector", "ids", "CAST(NULL AS binary) AS cells")
+    spread = asked.select("id", "vector", F.explode("places").alias("place"))
+    spread = spread.selectExpr("place.region", "true AS asks", "id", "CAST(NULL AS int) AS cell", "vector", "CAST(NULL AS array<long>) AS ids", "place.cells")
+    met = dealt.unionAll(spread).repartition(shuffle_partitions(spark), "region").sortWithinPartitions("region", "asks")
+    found = map_arrow(met, _rerank(index, span, neighbours), "query_id long, found array<struct<score double, vec_id long>>")
     best = lambda column: F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list(column)))), 1, neighbours)
     salted = found.groupBy("query_id", F.pmod(F.spark_partition_id(), F.lit(16)).alias("salt")).agg(best("found").alias("found"))
     merged = salted.groupBy("query_id").agg(best("found").alias("found"))
